@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attrition.plans import recipes
 from attrition.sources.mart import customer_mart, train_test
@@ -61,3 +62,495 @@ def _recipe_query(name):
 
 for _r in ("simple", "fast", "wide", "v2", "full", "f1", "union", "light", "raw"):
     QUERIES[f"recipe_{_r}"] = _recipe_query(_r)
+
+
+# ==================================================================== shared inputs
+from attrition.functions.nullsafe import safe_div_fill  # noqa: E402
+from attrition.operators import blend as B  # noqa: E402
+from attrition.operators import clean as C  # noqa: E402
+from attrition.operators import encode as N  # noqa: E402
+from attrition.operators import evaluate as V  # noqa: E402
+from attrition.operators import folds as K  # noqa: E402
+from attrition.operators import profile as E  # noqa: E402
+from attrition.plans.scores import MODELS, md5_fraction, pseudo_scores  # noqa: E402
+from attrition.session import scratch_path  # noqa: E402
+from attrition.sources import io as S  # noqa: E402
+
+CATS = ["telecom_partner", "gender", "state", "city"]
+
+
+def _pair(spark, sf_dir):
+    return train_test(customer_mart(spark, sf_dir))
+
+
+def _scores(spark, sf_dir):
+    return pseudo_scores(_train(spark, sf_dir))
+
+
+def _wide_scores(spark, sf_dir):
+    return B.pivot_scores(_scores(spark, sf_dir), MODELS)
+
+
+def _test_probs(spark, sf_dir):
+    """Test rows with a dense 1-based id (by row_id) and a deterministic probability."""
+    test = _pair(spark, sf_dir)[1]
+    ided = S.dense_ids(test.select("row_id"), ["row_id"], base=1)
+    return ided.withColumn("p", md5_fraction(F.concat_ws(":", F.lit("test"), F.col("row_id").cast("string"))))
+
+
+# ==================================================================== S: sources and sinks
+@query("s1_csv_scan")
+def q_s1(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    path = S.write_csv(train, scratch_path(spark, "s1"))
+    return S.read_csv(spark, path, S.MART_SCHEMA)
+
+
+@query("s2_csv_encoding_fallback")
+def q_s2(spark, sf_dir):
+    """A latin-1 file (city carries U+00B7): UTF-8 read shows U+FFFD → re-read as latin-1."""
+    train = _train(spark, sf_dir).withColumn("city", F.concat(F.col("city"), F.lit("·")))
+    path = S.write_csv(train, scratch_path(spark, "s2"), encoding="ISO-8859-1")
+    return S.load_csv(spark, path, S.MART_SCHEMA)
+
+
+@query("s3_dense_ids")
+def q_s3(spark, sf_dir):
+    test = _pair(spark, sf_dir)[1]
+    return S.dense_ids(test.select("row_id", "city"), ["row_id"], base=1)
+
+
+@query("s4_write_labels")
+def q_s4(spark, sf_dir):
+    path = S.write_csv(S.hard_labels(_test_probs(spark, sf_dir), 0.5), scratch_path(spark, "s4"))
+    return S.read_csv(spark, path, T.StructType([T.StructField("id", T.LongType()),
+                                                 T.StructField("churn", T.IntegerType())]))
+
+
+@query("s5_write_probabilities")
+def q_s5(spark, sf_dir):
+    probs = _test_probs(spark, sf_dir).select(
+        F.col("p").alias("predicted_proba"), (F.col("p") >= 0.5).cast("int").alias("predicted_churn"))
+    path = S.write_csv(probs, scratch_path(spark, "s5"))
+    return S.read_csv(spark, path, T.StructType([T.StructField("predicted_proba", T.DoubleType()),
+                                                 T.StructField("predicted_churn", T.IntegerType())]))
+
+
+@query("s6_per_model_files")
+def q_s6(spark, sf_dir):
+    """One output per model, each at its own exact-F1 cut-off from the OOF scores."""
+    cuts = V.best_f1_exact(_scores(spark, sf_dir), "p", "label", keys=["model"]).select("model", "best_threshold")
+    test = _pair(spark, sf_dir)[1].select("row_id")
+    models = F.explode(F.array(*[F.lit(m) for m in MODELS])).alias("model")
+    long = test.select("row_id", models).withColumn(
+        "p", md5_fraction(F.concat_ws(":", F.col("model"), F.col("row_id").cast("string"))))
+    labelled = long.join(F.broadcast(cuts), "model").select(
+        "row_id", "model", (F.col("p") >= F.col("best_threshold")).cast("int").alias("churn"))
+    path = S.write_csv(labelled, scratch_path(spark, "s6"), partition_by=["model"])
+    return spark.read.option("header", True).schema("row_id long, churn int, model string").csv(path)
+
+
+@query("s7_run_log")
+def q_s7(spark, sf_dir):
+    train, test = _pair(spark, sf_dir)
+    rate = train.agg(F.avg("churn")).first()[0]
+    t = S.append_metrics(spark, scratch_path(spark, "s7"), "r1",
+                         {"load/train_rows": train.count(), "load/test_rows": test.count(),
+                          "load/churn_rate": rate})
+    return t.select("run", "stage", "metric", "value")
+
+
+@query("s8_output_check")
+def q_s8(spark, sf_dir):
+    sub = S.hard_labels(_test_probs(spark, sf_dir), 0.5)
+    n = _pair(spark, sf_dir)[1].count()
+    return S.output_check(sub, n)
+
+
+# ==================================================================== E: profiling
+@query("e1_shape")
+def q_e1(spark, sf_dir):
+    train, test = _pair(spark, sf_dir)
+    return E.shape(train, "train").unionByName(E.shape(test, "test"))
+
+
+@query("e2_class_counts")
+def q_e2(spark, sf_dir):
+    return E.class_counts(_train(spark, sf_dir))
+
+
+@query("e3_churn_rate")
+def q_e3(spark, sf_dir):
+    return E.churn_rate(_train(spark, sf_dir))
+
+
+@query("e4_null_counts")
+def q_e4(spark, sf_dir):
+    return E.null_counts(_train(spark, sf_dir))
+
+
+@query("e5_label_correlation")
+def q_e5(spark, sf_dir):
+    return E.label_correlations(C.sweep_inf(_train(spark, sf_dir)))
+
+
+@query("e6_nonfinite_audit")
+def q_e6(spark, sf_dir):
+    return E.nonfinite_audit(_train(spark, sf_dir))
+
+
+@query("e7_column_list")
+def q_e7(spark, sf_dir):
+    return E.column_list(_train(spark, sf_dir))
+
+
+@query("e8_preview")
+def q_e8(spark, sf_dir):
+    return E.preview(_train(spark, sf_dir), 5)
+
+
+@query("e9_distinct_values")
+def q_e9(spark, sf_dir):
+    train, test = _pair(spark, sf_dir)
+    return E.distinct_counts(train.select(*CATS).unionByName(test.select(*CATS)))
+
+
+@query("e10_prediction_summary")
+def q_e10(spark, sf_dir):
+    return E.prediction_summary(S.hard_labels(_test_probs(spark, sf_dir), 0.5), _train(spark, sf_dir))
+
+
+# ==================================================================== C: cleaning
+@query("c1_sweep_inf")
+def q_c1(spark, sf_dir):
+    return C.sweep_inf(_train(spark, sf_dir))
+
+
+@query("c2_negatives_to_null")
+def q_c2(spark, sf_dir):
+    return C.negatives_to_null(C.sweep_inf(_train(spark, sf_dir)))
+
+
+@query("c3_winsorize")
+def q_c3(spark, sf_dir):
+    train, test = _pair(spark, sf_dir)
+    cols = ["estimated_salary", "calls_made", "sms_sent", "data_used", "activity_score", "calls_per_day"]
+    return C.winsorize(C.sweep_inf(test), C.sweep_inf(train), cols)
+
+
+@query("c4_clip_lower")
+def q_c4(spark, sf_dir):
+    return C.clip_lower_cols(_train(spark, sf_dir), {"customer_tenure_days": 1.0, "calls_made": 0.0,
+                                                      "data_used": 0.0, "estimated_salary": 0.0})
+
+
+@query("c5_fill_constant")
+def q_c5(spark, sf_dir):
+    return C.fill_constant(C.sweep_inf(_train(spark, sf_dir)), numeric=0, text="0", exclude=["row_id", "churn"])
+
+
+@query("c6_median_fill_self")
+def q_c6(spark, sf_dir):
+    return C.fill_median(C.sweep_inf(_train(spark, sf_dir)), exclude=["row_id", "churn"])
+
+
+def _scoped(scope):
+    def fn(spark, sf_dir):
+        train, test = _pair(spark, sf_dir)
+        tr, te = C.median_fill_scoped(C.sweep_inf(train).drop("churn"), C.sweep_inf(test), scope,
+                                      exclude=["row_id", "churn", "age", "num_dependents"])
+        return tr.withColumn("is_train", F.lit(True)).unionByName(te.withColumn("is_train", F.lit(False)))
+    return fn
+
+
+QUERIES["c7_median_fill_train"] = _scoped("train")
+QUERIES["c8_median_fill_union"] = _scoped("union")
+
+
+@query("c10_safe_divide")
+def q_c10(spark, sf_dir):
+    return C.safe_divide(_train(spark, sf_dir).select("row_id", "estimated_salary", "data_used"),
+                         "salary_data_ratio", "estimated_salary", "data_used", 0.0)
+
+
+@query("c11_parse_dates")
+def q_c11(spark, sf_dir):
+    return C.parse_dates(_train(spark, sf_dir).select("row_id", "date_of_registration"),
+                         ["date_of_registration"])
+
+
+@query("c12_drop_columns")
+def q_c12(spark, sf_dir):
+    return C.drop_columns(_train(spark, sf_dir), ["churn", "date_of_registration", "row_id", "not_there"])
+
+
+@query("c13_common_columns")
+def q_c13(spark, sf_dir):
+    train, test = _pair(spark, sf_dir)
+    tr, _ = C.common_columns(recipes.full(train).drop(*CATS, "row_id"), recipes.full(test).drop(*CATS, "row_id"),
+                             cast_float=True)
+    return tr
+
+
+@query("c14_split_back")
+def q_c14(spark, sf_dir):
+    _, test = C.split_train_test(recipes.union(customer_mart(spark, sf_dir)))
+    return test.drop("churn")
+
+
+@query("c15_column_kinds")
+def q_c15(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    num = C.numeric_columns(train, ["row_id", "churn"])
+    cat = C.categorical_columns(train)
+    rows = [(c, "numeric") for c in num] + [(c, "categorical") for c in cat]
+    return spark.createDataFrame(rows, "column_name string, kind string")
+
+
+# ==================================================================== R: relational core
+@query("r1_union_all")
+def q_r1(spark, sf_dir):
+    train, test = _pair(spark, sf_dir)
+    return (train.drop("churn").withColumn("is_train", F.lit(True))
+            .unionByName(test.withColumn("is_train", F.lit(False)), allowMissingColumns=True))
+
+
+@query("r2_lookup_join")
+def q_r2(spark, sf_dir):
+    train, test = _pair(spark, sf_dir)
+    stats = train.groupBy("city").agg(F.avg("churn").alias("city_rate"))
+    g = train.agg(F.avg("churn")).first()[0]
+    out = N.lookup_join(test.select("row_id", "city"), stats, ["city"])
+    return out.withColumn("city_rate", F.coalesce("city_rate", F.lit(g)))
+
+
+@query("r3_group_mean_count")
+def q_r3(spark, sf_dir):
+    return _train(spark, sf_dir).groupBy("state").agg(F.avg("churn").alias("mean_churn"),
+                                                      F.count(F.lit(1)).alias("n"))
+
+
+@query("r4_fold_writeback")
+def q_r4(spark, sf_dir):
+    sc = _scores(spark, sf_dir).where(F.col("model") == "gbt")
+    parts = [sc.where(F.col("fold") == f).withColumn("oof", F.col("p")) for f in range(5)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("row_id", "fold", "label", "oof")
+
+
+@query("r5_column_bind")
+def q_r5(spark, sf_dir):
+    return _wide_scores(spark, sf_dir)
+
+
+@query("r6_top_k")
+def q_r6(spark, sf_dir):
+    return (_train(spark, sf_dir).groupBy("city").agg(F.avg("churn").alias("churn_rate"),
+                                                      F.count(F.lit(1)).alias("n"))
+            .orderBy(F.col("churn_rate").desc(), F.col("city")).limit(10))
+
+
+@query("r7_composite_key")
+def q_r7(spark, sf_dir):
+    df = _train(spark, sf_dir).select("row_id", *CATS)
+    for a, b in (("telecom_partner", "city"), ("state", "city"), ("telecom_partner", "state")):
+        df = N.combo_key(df, a, b)
+    return df.drop(*CATS)
+
+
+@query("r8_filter_fold")
+def q_r8(spark, sf_dir):
+    return _scores(spark, sf_dir).where((F.col("fold") != 2) & (F.col("label") == 1) & (F.col("model") == "gbt"))
+
+
+# ==================================================================== N: encoders
+@query("n1_ordinal_union")
+def q_n1(spark, sf_dir):
+    train, test = _pair(spark, sf_dir)
+    tr, _ = N.ordinal_encode(train.select("row_id", *CATS), test.select("row_id", *CATS), CATS, "union", "_le")
+    return tr
+
+
+@query("n2_ordinal_self")
+def q_n2(spark, sf_dir):
+    train, test = _pair(spark, sf_dir)
+    _, te = N.ordinal_encode(train.select("row_id", *CATS), test.select("row_id", *CATS), CATS, "self")
+    return te
+
+
+@query("n3_frequency")
+def q_n3(spark, sf_dir):
+    train, test = _pair(spark, sf_dir)
+    return N.frequency_encode(test.select("row_id", *CATS), train, CATS)
+
+
+def _te_train(spark, sf_dir, cols, prior="other_folds", unseen="prior"):
+    train = _train(spark, sf_dir)
+    df = train.select("row_id", "churn", *CATS)
+    for a, b in (("telecom_partner", "city"), ("state", "city"), ("telecom_partner", "state")):
+        df = N.combo_key(df, a, b)
+    df = K.stratified_folds(df, 5, 99)
+    return N.target_encode_oof(df, cols, "fold", prior=prior, unseen=unseen).drop(*CATS)
+
+
+@query("n4_target_oof")
+def q_n4(spark, sf_dir):
+    return _te_train(spark, sf_dir, CATS).select("row_id", "fold", *[c + "_te" for c in CATS])
+
+
+@query("n4_target_oof_reference")
+def q_n4r(spark, sf_dir):
+    """The reference's variant: prior from all train rows, unseen → 0."""
+    return _te_train(spark, sf_dir, CATS, "full", "zero").select("row_id", "fold", *[c + "_te" for c in CATS])
+
+
+@query("n5_target_test")
+def q_n5(spark, sf_dir):
+    train, test = _pair(spark, sf_dir)
+    return N.target_encode_fit_apply(train, test.select("row_id", *CATS), CATS).drop(*CATS)
+
+
+@query("n6_pair_target")
+def q_n6(spark, sf_dir):
+    pairs = ["telecom_partner_city", "state_city", "telecom_partner_state"]
+    return _te_train(spark, sf_dir, pairs).select("row_id", "fold", *[c + "_te" for c in pairs])
+
+
+@query("n7_one_hot")
+def q_n7(spark, sf_dir):
+    return N.one_hot_wide(_train(spark, sf_dir).select("row_id", "telecom_partner", "gender"),
+                          ["telecom_partner", "gender"])
+
+
+@query("n9_standardize")
+def q_n9(spark, sf_dir):
+    train, test = _pair(spark, sf_dir)
+    cols = ["age", "num_dependents", "calls_made", "sms_sent", "customer_tenure_days", "activity_score"]
+    params = N.fit_standardize(train, cols)
+    return N.apply_standardize(test.select("row_id", *cols), params)
+
+
+# ==================================================================== K: folds and weights
+@query("k1_stratified_folds")
+def q_k1(spark, sf_dir):
+    return K.stratified_folds(_train(spark, sf_dir).select("row_id", "churn"), 5, 42)
+
+
+@query("k1_fold_balance")
+def q_k1b(spark, sf_dir):
+    f = K.stratified_folds(_train(spark, sf_dir).select("row_id", "churn"), 5, 42)
+    return f.groupBy("fold", "churn").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("k2_positive_weight")
+def q_k2(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    neg, pos = K.class_counts(train)
+    return spark.createDataFrame([(neg, pos, K.positive_weight(train))], "neg long, pos long, pos_weight double")
+
+
+@query("k3_balanced_weights")
+def q_k3(spark, sf_dir):
+    w = K.with_class_weights(_train(spark, sf_dir).select("row_id", "churn"), scheme="balanced")
+    return w.groupBy("churn").agg(F.first("weight").alias("weight"), F.count(F.lit(1)).alias("n"))
+
+
+# ==================================================================== V: evaluation
+@query("v1_f1_at_half")
+def q_v1(spark, sf_dir):
+    return V.f1_at(_scores(spark, sf_dir), 0.5, "p", "label", keys=["model"])
+
+
+@query("v2_best_threshold_grid")
+def q_v2(spark, sf_dir):
+    return V.best_threshold(_scores(spark, sf_dir), V.grid("full"), "p", "label", keys=["model"])
+
+
+@query("v2_best_threshold_argmax")
+def q_v2a(spark, sf_dir):
+    return V.best_threshold(_scores(spark, sf_dir), V.grid("light"), "p", "label", keys=["model"], tie="argmax")
+
+
+@query("v3_best_f1_exact")
+def q_v3(spark, sf_dir):
+    return V.best_f1_exact(_scores(spark, sf_dir), "p", "label", keys=["model"])
+
+
+@query("v4_fold_best_f1")
+def q_v4(spark, sf_dir):
+    return V.best_threshold(_scores(spark, sf_dir), V.grid("fold"), "p", "label",
+                            keys=["model", "fold"], default=None).select("model", "fold", "best_f1")
+
+
+@query("v5_fold_summary")
+def q_v5(spark, sf_dir):
+    per = V.best_threshold(_scores(spark, sf_dir), V.grid("fold"), "p", "label", keys=["model", "fold"])
+    return V.fold_summary(per.withColumnRenamed("best_f1", "f1"), "f1", keys=["model"])
+
+
+@query("v6_roc_auc")
+def q_v6(spark, sf_dir):
+    return V.roc_auc(_scores(spark, sf_dir), "p", "label", keys=["model"])
+
+
+@query("v6_roc_auc_by_fold")
+def q_v6f(spark, sf_dir):
+    return V.roc_auc(_scores(spark, sf_dir), "p", "label", keys=["model", "fold"])
+
+
+@query("v7_classification_report")
+def q_v7(spark, sf_dir):
+    return V.classification_report(_scores(spark, sf_dir).where(F.col("model") == "linear"), 0.45, "p", "label")
+
+
+@query("v8_confusion_matrix")
+def q_v8(spark, sf_dir):
+    return V.confusion_matrix(_scores(spark, sf_dir).where(F.col("model") == "gbt"), 0.45, "p", "label")
+
+
+@query("v9_precision_recall_plus_one")
+def q_v9(spark, sf_dir):
+    return V.best_threshold(_scores(spark, sf_dir), V.grid("v2"), "p", "label", keys=["model"])
+
+
+@query("v10_threshold_curve")
+def q_v10(spark, sf_dir):
+    return V.grid_curve(_scores(spark, sf_dir).where(F.col("model") == "linear"), V.grid("light"), "p", "label")
+
+
+@query("v11_trial_best_highest")
+def q_v11(spark, sf_dir):
+    return V.best_threshold(_scores(spark, sf_dir), V.grid("trial"), "p", "label",
+                            keys=["model", "fold"], tie="highest")
+
+
+# ==================================================================== B: blending
+def _blend_eval(df):
+    return V.best_threshold(df, V.grid("full"), "p", "label")
+
+
+@query("b1_mean_blend")
+def q_b1(spark, sf_dir):
+    return _blend_eval(B.mean_blend(_wide_scores(spark, sf_dir), MODELS))
+
+
+@query("b2_fixed_blend")
+def q_b2(spark, sf_dir):
+    return _blend_eval(B.fixed_blend(_wide_scores(spark, sf_dir), MODELS))
+
+
+@query("b3_weight_grid_search")
+def q_b3(spark, sf_dir):
+    return B.grid_search(_wide_scores(spark, sf_dir), MODELS)
+
+
+@query("b4_simplex_exact_search")
+def q_b4(spark, sf_dir):
+    return B.exact_search(_wide_scores(spark, sf_dir), MODELS)
+
+
+@query("b6_model_diagnostics")
+def q_b6(spark, sf_dir):
+    return B.model_diagnostics(_scores(spark, sf_dir))
