@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from attrition.operators.ordered import rank_within
 from attrition.operators.stats import fit_stats
+from attrition.session import cut_lineage
 from attrition.sources.tables import sized_broadcast
 
 MISSING = "nan"           # pandas astype(str) of a missing value
@@ -45,7 +46,8 @@ def fit_ordinal(fit: DataFrame, cols: Sequence[str]) -> DataFrame:
     stacked = fit.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), as_key(c).alias("value")) for c in cols])).alias("kv"))
     distinct = stacked.select("kv.column_name", "kv.value").distinct()
-    return rank_within(distinct, ["value"], ["column_name"], out="code").withColumn("code", F.col("code").cast("int"))
+    codes = rank_within(distinct, ["value"], ["column_name"], out="code").withColumn("code", F.col("code").cast("int"))
+    return cut_lineage(codes)   # one row per distinct value; every lookup below reads it
 
 
 def apply_ordinal(df: DataFrame, codes: DataFrame, cols: Sequence[str], suffix: str = "",

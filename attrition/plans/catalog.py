@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attrition.plans import recipes
-from attrition.sources.mart import customer_mart, train_test
+from attrition.sources.mart import materialized_mart as customer_mart
+from attrition.sources.mart import train_test
 
 QUERIES: dict = {}
 
@@ -31,7 +32,8 @@ def _train(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ the mart and the flagship
 @query("mart_customer")
 def q_mart(spark, sf_dir):
-    return customer_mart(spark, sf_dir)
+    from attrition.sources.mart import customer_mart as build
+    return build(spark, sf_dir)
 
 
 @query("flagship_churn_by_segment")

@@ -111,6 +111,23 @@ def customer_mart(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) -> Dat
     )
 
 
+_MATERIALIZED: dict = {}
+
+
+def materialized_mart(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) -> DataFrame:
+    """The mart checkpointed once per session and input folder.
+
+    Operators that fit statistics make several passes over their input; with
+    the mart in the shared checkpoint folder those passes read a small table
+    instead of re-running the lineitem/orders joins (and survive executor loss).
+    """
+    from attrition.session import cut_lineage
+    key = (id(spark.sparkContext), spark.sparkContext.applicationId, sf_dir, cutoff)
+    if key not in _MATERIALIZED:
+        _MATERIALIZED[key] = cut_lineage(customer_mart(spark, sf_dir, cutoff))
+    return _MATERIALIZED[key]
+
+
 def train_test(mart: DataFrame):
     """Split the mart into the labelled and the unlabelled table (C14)."""
     train = mart.filter(F.col("is_train")).drop("is_train")
