@@ -53,11 +53,13 @@ def fit_ordinal(fit: DataFrame, cols: Sequence[str]) -> DataFrame:
 def apply_ordinal(df: DataFrame, codes: DataFrame, cols: Sequence[str], suffix: str = "",
                   unseen: int | None = None) -> DataFrame:
     """Replace (or add ``<col><suffix>``) codes; an unseen value gives ``unseen`` (NULL)."""
+    # one bounded size check for the whole code table, then per-column joins
+    small = codes.limit(LOOKUP_BROADCAST_ROWS + 1).count() <= LOOKUP_BROADCAST_ROWS
     out = df
     for c in cols:
         name = c + suffix
         m = codes.where(F.col("column_name") == c).select(F.col("value").alias("_v"), F.col("code").alias("_code"))
-        out = lookup_join(out.withColumn("_v", as_key(c)), m, ["_v"])
+        out = out.withColumn("_v", as_key(c)).join(F.broadcast(m) if small else m, ["_v"], "left")
         val = F.col("_code") if unseen is None else F.coalesce(F.col("_code"), F.lit(unseen))
         out = out.withColumn(name, val).drop("_v", "_code")
     return out

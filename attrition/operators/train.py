@@ -78,7 +78,8 @@ def make_member(kind: str, recipe: str = "full", seed: int = 42, weight_col: str
         m = GBTClassifier(maxDepth=min(d, 30), stepSize=lr, maxIter=n, subsamplingRate=0.8 if kind == "xgb" else 1.0,
                           featureSubsetStrategy="all", maxBins=max_bins, **common)
         if validation_col:                                      # M4: early stopping on the held-out fold
-            m.setValidationIndicatorCol(validation_col).setValidationTol(1e-4)
+            m.setValidationIndicatorCol(validation_col)
+            m.set(m.validationTol, 1e-4)
     elif kind == "lgb":
         m = RandomForestClassifier(maxDepth=min(d, 30), numTrees=n, subsamplingRate=0.8,
                                    featureSubsetStrategy="sqrt", maxBins=max_bins, **common)
@@ -103,7 +104,8 @@ def oof_fit(df: DataFrame, estimator, k: int, fold_col: str = "fold", label: str
     def fit_one(f):
         if early_stop:
             data = df.withColumn("_is_val", F.col(fold_col) == f)
-            est = estimator.copy().setValidationIndicatorCol("_is_val").setValidationTol(1e-4)
+            est = estimator.copy().setValidationIndicatorCol("_is_val")
+            est.set(est.validationTol, 1e-4)
             return est.fit(data)
         return estimator.copy().fit(df.where(F.col(fold_col) != f))
 

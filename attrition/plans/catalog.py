@@ -556,3 +556,169 @@ def q_b4(spark, sf_dir):
 @query("b6_model_diagnostics")
 def q_b6(spark, sf_dir):
     return B.model_diagnostics(_scores(spark, sf_dir))
+
+
+# ==================================================================== ML, resampling, imputation (rows-only)
+from attrition.operators import resample as RS  # noqa: E402
+from attrition.operators import train as M  # noqa: E402
+from attrition.plans import oof as OOF  # noqa: E402
+
+_PREPARED: dict = {}
+SMALL_ITER = 5          # trees per member in registered queries (presets keep the reference counts)
+
+
+def _prepared(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PREPARED:
+        _PREPARED[key] = OOF.prepare(spark, sf_dir, "full")
+    return _PREPARED[key]
+
+
+def _member_oof(kind):
+    def fn(spark, sf_dir):
+        prep = _prepared(spark, sf_dir)
+        bins = max(32, max(prep.cardinality.values()))
+        oof, _ = M.oof_fit(prep.train, M.make_member(kind, "full", 42, "weight", SMALL_ITER, bins), 5)
+        return oof.withColumn("model", F.lit(kind))
+    return fn
+
+
+QUERIES["m1_gbt_oof"] = _member_oof("xgb")
+QUERIES["m2_forest_oof"] = _member_oof("lgb")
+QUERIES["m3_nominal_gbt_oof"] = _member_oof("cat")
+QUERIES["m3_linear_oof"] = _member_oof("linear")
+
+
+@query("m4_early_stopping")
+def q_m4(spark, sf_dir):
+    prep = _prepared(spark, sf_dir)
+    bins = max(32, max(prep.cardinality.values()))
+    est = M.make_member("xgb", "full", 42, "weight", 30, bins)
+    _, models = M.oof_fit(prep.train, est, 5, early_stop=True)
+    rows = [(f, 30, len(m.trees)) for f, m in enumerate(models)]
+    return spark.createDataFrame(rows, "fold int, max_trees int, trees_kept int")
+
+
+@query("m5_f1_early_stopping")
+def q_m5(spark, sf_dir):
+    prep = _prepared(spark, sf_dir)
+    bins = max(32, max(prep.cardinality.values()))
+    model = M.make_member("xgb", "full", 42, "weight", 12, bins).fit(prep.train.where(F.col("fold") != 0))
+    return M.best_prefix_by_f1(model, prep.train.where(F.col("fold") == 0))
+
+
+@query("m6_oof_score_table")
+def q_m6(spark, sf_dir):
+    return QUERIES["m1_gbt_oof"](spark, sf_dir).unionByName(QUERIES["m2_forest_oof"](spark, sf_dir))
+
+
+def _fold_models(spark, sf_dir, kind="xgb"):
+    prep = _prepared(spark, sf_dir)
+    bins = max(32, max(prep.cardinality.values()))
+    return prep, M.oof_fit(prep.train, M.make_member(kind, "full", 42, "weight", SMALL_ITER, bins), 5)
+
+
+@query("m7_test_fold_mean")
+def q_m7(spark, sf_dir):
+    prep, (_, models) = _fold_models(spark, sf_dir)
+    return M.fold_mean_scores(prep.test, models)
+
+
+@query("m8_refit_full_train")
+def q_m8(spark, sf_dir):
+    prep = _prepared(spark, sf_dir)
+    bins = max(32, max(prep.cardinality.values()))
+    model = M.make_member("xgb", "full", 42, "weight", SMALL_ITER, bins).fit(prep.train)
+    return model.transform(prep.test).select("row_id", M.p1().alias("p"))
+
+
+@query("m9_feature_importance")
+def q_m9(spark, sf_dir):
+    prep, (_, models) = _fold_models(spark, sf_dir)
+    return M.importances(models, prep.feature_cols, 20)
+
+
+@query("m10_random_search")
+def q_m10(spark, sf_dir):
+    prep = _prepared(spark, sf_dir)
+    bins = max(32, max(prep.cardinality.values()))
+    data = K.stratified_folds(prep.train.drop("fold").withColumnRenamed("label", "churn"), 3, 42) \
+        .withColumnRenamed("churn", "label")
+    est = M.make_member("cat", "full", 42, "weight", SMALL_ITER, bins)
+    cv, maps = M.random_search(data, est, trials=3, max_iter_cap=SMALL_ITER, min_bins=bins, parallelism=2)
+    rows = [(i, float(m[est.stepSize]), int(m[est.maxDepth]), int(m[est.maxIter]), int(m[est.maxBins]), float(s))
+            for i, (m, s) in enumerate(zip(maps, cv.avgMetrics))]
+    return spark.createDataFrame(rows, "trial int, step_size double, max_depth int, max_iter int, max_bins int, "
+                                       "mean_fold_f1 double")
+
+
+@query("m12_hard_labels")
+def q_m12(spark, sf_dir):
+    prep, (oof, models) = _fold_models(spark, sf_dir)
+    t = V.best_threshold(oof, V.grid("full"), "p", "label").first()["best_threshold"]
+    scored = S.dense_ids(M.fold_mean_scores(prep.test, models), ["row_id"], base=1)
+    return S.hard_labels(scored, t)
+
+
+@query("n8_nominal_features")
+def q_n8(spark, sf_dir):
+    prep = _prepared(spark, sf_dir)
+    attrs = prep.train.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+    rows = []
+    for kind, items in attrs.items():
+        for a in items:
+            rows.append((int(a["idx"]), a["name"], kind, int(a.get("num_vals", 0) or 0)))
+    return spark.createDataFrame(sorted(rows), "idx int, feature string, kind string, num_vals int")
+
+
+@query("n10_feature_vector")
+def q_n10(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+    prep = _prepared(spark, sf_dir)
+    return prep.train.select("row_id", "label", vector_to_array("features").alias("features"))
+
+
+def _numeric_train(spark, sf_dir):
+    cols = ["age", "num_dependents", "calls_made", "sms_sent", "data_used", "customer_tenure_days",
+            "activity_score", "estimated_salary"]
+    tr = _train(spark, sf_dir).select("row_id", "churn", "city", *cols)
+    return C.fill_median(C.sweep_inf(tr), exclude=["row_id", "churn"]), cols
+
+
+@query("k4_smote")
+def q_k4(spark, sf_dir):
+    df, cols = _numeric_train(spark, sf_dir)
+    return RS.smote(df, cols + ["city"], label="churn", k=5, seed=42, categorical=["city"])
+
+
+@query("k5_smote_tomek")
+def q_k5(spark, sf_dir):
+    df, cols = _numeric_train(spark, sf_dir)
+    return RS.smote_tomek(df, cols, label="churn", k=5, seed=42)
+
+
+@query("c9_iterative_impute")
+def q_c9(spark, sf_dir):
+    train, test = _pair(spark, sf_dir)
+    tr, te = recipes.light(C.sweep_inf(train)), recipes.light(C.sweep_inf(test))
+    num = [c for c in C.numeric_columns(tr, ["row_id", "churn"]) if c in te.columns]
+    tr = C.winsorize(tr, tr, num)
+    te = C.winsorize(te, tr, num)
+    out, _, _ = C.iterative_impute(tr, te, num, max_iter=3)
+    return out
+
+
+@query("pipeline_oof_submission")
+def q_pipeline(spark, sf_dir):
+    return OOF.run(spark, sf_dir, max_iter=SMALL_ITER)["submission"]
+
+
+@query("streaming_score_new_customers")
+def q_stream(spark, sf_dir):
+    from attrition.streaming.scoring import fit_scorer, score_stream
+    train, test = _pair(spark, sf_dir)
+    src = scratch_path(spark, "arrivals")
+    test.repartition(4).write.parquet(src)           # new customers arriving as files
+    scorer = fit_scorer(train, test, max_iter=SMALL_ITER)
+    name = "scored_" + src.rsplit("-", 1)[-1]
+    return score_stream(spark, src, test.schema, scorer, name)
