@@ -67,7 +67,10 @@ def prepare(spark: SparkSession, sf_dir: str, recipe: str = "full", k: int = 5,
 
 
 def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb", "lgb", "cat"), k: int = 5,
-        max_iter: int | None = 20, parallelism: int = 1, seed: int = 42, timings: dict | None = None) -> dict:
+        max_iter: int | None = 20, parallelism: int | None = None, seed: int = 42,
+        timings: dict | None = None) -> dict:
+    """``parallelism``: folds fitted concurrently (default k) – each fit is a
+    chain of small MLlib jobs, so concurrent folds keep the executors busy."""
     t = timings if timings is not None else {}
     t0 = time.time()
     prep = prepare(spark, sf_dir, recipe, k, seed)
@@ -77,7 +80,7 @@ def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb",
     for kind in members:
         t1 = time.time()
         est = M.make_member(kind, recipe, seed, "weight", max_iter, max_bins)
-        oof, models = M.oof_fit(prep.train, est, k, parallelism=parallelism)
+        oof, models = M.oof_fit(prep.train, est, k, parallelism=parallelism or k)
         tests.append(M.fold_mean_scores(prep.test, models).withColumn("model", F.lit(kind)))
         oofs.append(oof.withColumn("model", F.lit(kind)))
         t[f"fit_{kind}"] = time.time() - t1
