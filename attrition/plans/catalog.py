@@ -722,3 +722,48 @@ def q_stream(spark, sf_dir):
     scorer = fit_scorer(train, test, max_iter=SMALL_ITER)
     name = "scored_" + src.rsplit("-", 1)[-1]
     return score_stream(spark, src, test.schema, scorer, name)
+
+
+# ==================================================================== B5 and other driver tables
+@query("b5_dirichlet_exact_search")
+def q_b5(spark, sf_dir):
+    """> 3 members: 4000 seeded Dirichlet weight draws, exact PR-curve F1."""
+    wide = _wide_scores(spark, sf_dir)
+    u = md5_fraction(F.concat_ws(":", F.lit("mix"), F.col("row_id").cast("string")))
+    wide = wide.withColumn("mix", F.lit(0.5) * u + F.lit(0.5) * F.col("label"))
+    cols = MODELS + ["mix"]
+    return B.exact_search(wide, cols, "label", B.simplex_candidates(4))
+
+
+def _docs(spark, sf_dir):
+    from attrition.sources.tables import read_table
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "lang", "source"])
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
+    return docs, labels
+
+
+@query("n5_target_documents")
+def q_n5_docs(spark, sf_dir):
+    """Target means of document source/lang against labels.quality, fitted on the
+    labelled documents, applied to the unlabelled ones (unseen → prior)."""
+    docs, labels = _docs(spark, sf_dir)
+    labelled = docs.join(labels.select("doc_id", "quality"), "doc_id")
+    unlabelled = docs.join(labels.select("doc_id"), "doc_id", "left_anti")
+    return N.target_encode_fit_apply(labelled, unlabelled, ["source", "lang"], label="quality").drop("source", "lang")
+
+
+@query("e2_class_counts_labels")
+def q_e2_labels(spark, sf_dir):
+    return E.class_counts(_docs(spark, sf_dir)[1], "toxic")
+
+
+@query("e4_null_counts_events")
+def q_e4_events(spark, sf_dir):
+    from attrition.sources.tables import read_table
+    return E.null_counts(read_table(spark, sf_dir, "events"))
+
+
+@query("k1_stratified_folds_labels")
+def q_k1_labels(spark, sf_dir):
+    labels = _docs(spark, sf_dir)[1]
+    return K.stratified_folds(labels.select("doc_id", "quality"), 5, 42, label="quality", id_col="doc_id")
