@@ -68,17 +68,60 @@ def _expr(kind: str, c: str, arg=None, approx: bool = False, accuracy: int = 100
     raise ValueError(kind)
 
 
+QUANTILE_METHOD_CONF = "attrition.quantile.method"     # auto | exact | ranked | approx
+RANKED_ABOVE_BYTES = 1 << 30                            # plan-size estimate that switches auto → ranked
+
+
+def quantile_method(df: DataFrame, approx: bool = False) -> str:
+    """How quantiles are computed for ``df``.
+
+    ``exact``: Spark ``percentile`` (value→count maps merged map-side, but the
+    final merge of a global aggregate holds every distinct value in one task);
+    ``ranked``: ``ordered.exact_quantiles`` – same exact interpolated values
+    from range-partitioned running counts, no single-task merge;
+    ``approx``: ``percentile_approx``.  ``auto`` picks ``ranked`` when the
+    optimizer's size estimate of ``df`` exceeds ``RANKED_ABOVE_BYTES``.
+    """
+    if approx:
+        return "approx"
+    m = df.sparkSession.conf.get(QUANTILE_METHOD_CONF, "auto")
+    if m != "auto":
+        return m
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: the cheap path
+        return "exact"
+    return "ranked" if size > RANKED_ABOVE_BYTES else "exact"
+
+
 def fit_stats(df: DataFrame, requests: Sequence[tuple], approx: bool = False) -> dict:
     """One aggregate for all requests; returns ``{request: value}``.
 
-    A request is ``(kind, column)`` or ``("quantile", column, q)``.
+    A request is ``(kind, column)`` or ``("quantile", column, q)``.  With the
+    ``ranked`` quantile method the quantiles come from one distributed
+    ranked pass for all columns instead.
     """
     reqs = list(dict.fromkeys(tuple(r) for r in requests))
     if not reqs:
         return {}
-    exprs = [_expr(r[0], r[1], r[2] if len(r) > 2 else None, approx).alias(f"s{i}") for i, r in enumerate(reqs)]
+    out: dict = {}
+    method = quantile_method(df, approx) if any(r[0] in ("median", "quantile") for r in reqs) else "exact"
+    if method == "ranked":
+        from attrition.operators.ordered import exact_quantiles
+        qreqs = [r for r in reqs if r[0] in ("median", "quantile")]
+        cols = list(dict.fromkeys(r[1] for r in qreqs))
+        probs = sorted({0.5 if r[0] == "median" else float(r[2]) for r in qreqs})
+        qs = exact_quantiles(df, cols, probs)
+        for r in qreqs:
+            out[r] = qs[(r[1], 0.5 if r[0] == "median" else float(r[2]))]
+        reqs = [r for r in reqs if r not in out]
+        if not reqs:
+            return out
+    exprs = [_expr(r[0], r[1], r[2] if len(r) > 2 else None, method == "approx").alias(f"s{i}")
+             for i, r in enumerate(reqs)]
     row = df.agg(*exprs).first()
-    return {r: row[f"s{i}"] for i, r in enumerate(reqs)}
+    out.update({r: row[f"s{i}"] for i, r in enumerate(reqs)})
+    return out
 
 
 def null_counts(df: DataFrame, cols: Sequence[str]) -> dict:

@@ -104,3 +104,22 @@ def test_recipe_widths_match_logged_runs(spark):
     tr = _train(spark)
     assert len(recipes.simple(tr).columns) - 2 == 27      # logged width of the 1-model run
     assert len(recipes.v2(tr).columns) - 2 == 46          # logged width of the 3-model run
+
+
+def test_ranked_quantile_method_gives_the_same_recipe(spark):
+    tr = _train(spark)
+    exact = {r.row_id: r for r in recipes.full(tr).collect()}
+    spark.conf.set("attrition.quantile.method", "ranked")
+    try:
+        ranked = {r.row_id: r for r in recipes.full(tr).collect()}
+    finally:
+        spark.conf.set("attrition.quantile.method", "auto")
+    assert exact.keys() == ranked.keys()
+    for k, a in exact.items():
+        b = ranked[k]
+        for c in a.__fields__:
+            x, y = a[c], b[c]
+            if isinstance(x, float):
+                assert abs(x - y) <= 1e-9 * max(1.0, abs(x)), c
+            else:
+                assert x == y, c
