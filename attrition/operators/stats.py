@@ -69,7 +69,8 @@ def _expr(kind: str, c: str, arg=None, approx: bool = False, accuracy: int = 100
 
 
 QUANTILE_METHOD_CONF = "attrition.quantile.method"     # auto | exact | ranked | approx
-RANKED_ABOVE_BYTES = 1 << 30                            # plan-size estimate that switches auto → ranked
+RANKED_ABOVE_ROWS = 10_000_000                          # auto → ranked above this many input rows
+_DECIDED: dict = {}
 
 
 def quantile_method(df: DataFrame, approx: bool = False) -> str:
@@ -79,19 +80,20 @@ def quantile_method(df: DataFrame, approx: bool = False) -> str:
     final merge of a global aggregate holds every distinct value in one task);
     ``ranked``: ``ordered.exact_quantiles`` – same exact interpolated values
     from range-partitioned running counts, no single-task merge;
-    ``approx``: ``percentile_approx``.  ``auto`` picks ``ranked`` when the
-    optimizer's size estimate of ``df`` exceeds ``RANKED_ABOVE_BYTES``.
+    ``approx``: ``percentile_approx``.  ``auto`` picks ``ranked`` when the input
+    has more than ``RANKED_ABOVE_ROWS`` rows – a bounded ``limit(n+1).count()``,
+    remembered per plan (optimizer size estimates are missing on checkpoints).
     """
     if approx:
         return "approx"
     m = df.sparkSession.conf.get(QUANTILE_METHOD_CONF, "auto")
     if m != "auto":
         return m
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: the cheap path
-        return "exact"
-    return "ranked" if size > RANKED_ABOVE_BYTES else "exact"
+    key = df.semanticHash()
+    if key not in _DECIDED:
+        big = df.limit(RANKED_ABOVE_ROWS + 1).count() > RANKED_ABOVE_ROWS
+        _DECIDED[key] = "ranked" if big else "exact"
+    return _DECIDED[key]
 
 
 def fit_stats(df: DataFrame, requests: Sequence[tuple], approx: bool = False) -> dict:
