@@ -123,3 +123,16 @@ def test_ranked_quantile_method_gives_the_same_recipe(spark):
                 assert abs(x - y) <= 1e-9 * max(1.0, abs(x)), c
             else:
                 assert x == y, c
+
+
+def test_knn_many_identical_points(spark):
+    # a third of the rows share one point: certified by the tie bound, no band fallback blow-up
+    rows = [(i, 1.0, 2.0) for i in range(60)] + [(100 + i, float(i), float(i % 7)) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    got = {}
+    for r in RS.knn(df, "id", ["a", "b"], k=3, projections=2, window=8, seed=5).collect():
+        got.setdefault(r.id, []).append(r.dist)
+    X = np.array([[a, b] for _, a, b in rows])
+    D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
+    for i, (rid, _, _) in enumerate(rows):
+        assert np.allclose(sorted(got[rid]), sorted(np.delete(D[i], i))[:3])
