@@ -77,19 +77,42 @@ def ordinal_encode(train: DataFrame, test: DataFrame | None, cols: Sequence[str]
     return tr, te
 
 
+# ---------------------------------------------------------------- shared: one stacked pass
+def _stacked(df: DataFrame, cols: Sequence[str], extra: Sequence[tuple] = (), missing: str | None = MISSING) -> DataFrame:
+    """(column_name, k, *extra) rows for every input row and column, generated in-task.
+    ``extra`` is a list of (name, Column) carried along."""
+    key = (lambda c: as_key(c, missing)) if missing is not None else (lambda c: F.col(c).cast("string"))
+    kv = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), key(c).alias("k")) for c in cols]))
+    return (df.select(*[e.alias(n) for n, e in extra], kv.alias("kv"))
+            .select("kv.column_name", "kv.k", *[n for n, _ in extra]))
+
+
+def _lookup(out: DataFrame, stats: DataFrame, c: str, on_extra: Sequence[str], value_cols: Sequence[str],
+            small: bool, missing: str | None = MISSING) -> DataFrame:
+    m = stats.where(F.col("column_name") == c).drop("column_name")
+    key = as_key(c, missing) if missing is not None else F.col(c).cast("string")
+    return out.withColumn("k", key).join(F.broadcast(m) if small else m, ["k", *on_extra], "left").drop("k")
+
+
+def _is_small(stats: DataFrame) -> bool:
+    return stats.limit(LOOKUP_BROADCAST_ROWS + 1).count() <= LOOKUP_BROADCAST_ROWS
+
+
 # ---------------------------------------------------------------- N3 frequency
 def frequency_encode(df: DataFrame, fit: DataFrame, cols: Sequence[str], suffix: str = "_freq",
                      default: float = 0.0) -> DataFrame:
     """Share of each value among the non-missing values of ``fit``;
-    unseen or missing → ``default``."""
+    unseen or missing → ``default``.  One stacked aggregate for all columns."""
     nn = fit_stats(fit, [("count", c) for c in cols])
+    counts = (_stacked(fit, cols, missing=None).where(F.col("k").isNotNull())
+              .groupBy("column_name", "k").agg(F.count(F.lit(1)).alias("_n")))
+    totals = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(float(nn[("count", c)] or 1)))])
+    stats = cut_lineage(counts.select("column_name", "k", (F.col("_n") / totals[F.col("column_name")]).alias("_share")))
+    small = _is_small(stats)
     out = df
     for c in cols:
-        total = float(nn[("count", c)] or 0)
-        stats = (fit.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("_v"))
-                 .agg((F.count(F.lit(1)) / F.lit(total if total else 1.0)).alias("_share")))
-        out = lookup_join(out.withColumn("_v", F.col(c)), stats, ["_v"])
-        out = out.withColumn(c + suffix, F.coalesce(F.col("_share"), F.lit(default))).drop("_v", "_share")
+        out = _lookup(out, stats, c, [], ["_share"], small, missing=None)
+        out = out.withColumn(c + suffix, F.coalesce(F.col("_share"), F.lit(default))).drop("_share")
     return out
 
 
@@ -103,47 +126,55 @@ def target_encode_oof(df: DataFrame, cols: Sequence[str], fold_col: str = "fold"
     value = (s + g·m) / (n + m).  ``prior``: ``other_folds`` (g from the other
     folds, leak-free) or ``full`` (g from all train rows, as the reference).
     ``unseen`` (n = 0): ``prior`` → g (default) or ``zero`` → 0 (the reference's
-    map-miss followed by fillna(0)).  Two grouped aggregates per column, both
-    combined map-side, joined back by key.
+    map-miss followed by fillna(0)).
+
+    ONE scan for all columns: rows are stacked to (column, key, fold, y) in-task
+    and aggregated map-side per (column, key, fold); per-key totals are a window
+    over the ≤ k fold rows of each key.  A key holding a third of all rows is
+    one aggregate row per fold, never one task's worth of rows.
     """
+    from pyspark.sql.window import Window
     y = F.col(label).cast("double")
     fold_stats = df.groupBy(fold_col).agg(F.sum(y).alias("_fs"), F.count(F.lit(1)).alias("_fn"))
     tot = fit_stats(df, [("sum", label), ("count", label)])
     s_all, n_all = float(tot[("sum", label)] or 0.0), float(tot[("count", label)] or 0)
+    kf = (_stacked(df, cols, [(fold_col, F.col(fold_col)), ("_y", y)])
+          .groupBy("column_name", "k", fold_col).agg(F.sum("_y").alias("_kfs"), F.count(F.lit(1)).alias("_kfn")))
+    w = Window.partitionBy("column_name", "k")
+    stats = cut_lineage(kf.withColumn("_ks", F.sum("_kfs").over(w)).withColumn("_kn", F.sum("_kfn").over(w)))
+    small = _is_small(stats)
     out = df.join(F.broadcast(fold_stats), fold_col, "left")  # ≤ k rows
     if prior == "full":
         g = F.lit(s_all / n_all if n_all else 0.0)
     else:
         g = F.try_divide(F.lit(s_all) - F.col("_fs"), F.lit(n_all) - F.col("_fn"))
     for c in cols:
-        key = as_key(c)
-        per_key = df.groupBy(key.alias("_k")).agg(F.sum(y).alias("_ks"), F.count(F.lit(1)).alias("_kn"))
-        per_key_fold = df.groupBy(key.alias("_k"), F.col(fold_col)).agg(
-            F.sum(y).alias("_kfs"), F.count(F.lit(1)).alias("_kfn"))
-        stats = per_key.join(per_key_fold, "_k")
-        out = lookup_join(out.withColumn("_k", key), stats, ["_k", fold_col])
+        out = _lookup(out, stats, c, [fold_col], ["_ks", "_kn", "_kfs", "_kfn"], small)
         n = F.col("_kn") - F.col("_kfn")
         s = F.col("_ks") - F.col("_kfs")
         enc = (s + g * m) / (n + m)
         miss = g if unseen == "prior" else F.lit(0.0)
         out = out.withColumn(c + suffix, F.when(n > 0, enc).otherwise(miss).cast("double")) \
-                 .drop("_k", "_ks", "_kn", "_kfs", "_kfn")
+                 .drop("_ks", "_kn", "_kfs", "_kfn")
     return out.drop("_fs", "_fn")
 
 
 def target_encode_fit_apply(train: DataFrame, test: DataFrame, cols: Sequence[str], label: str = "churn",
                             m: float = SMOOTHING, suffix: str = "_te") -> DataFrame:
-    """Smoothed target mean from all train rows applied to ``test``; unseen → g."""
+    """Smoothed target mean from all train rows applied to ``test``; unseen → g.
+    One stacked aggregate over train for all columns."""
     y = F.col(label).cast("double")
     tot = fit_stats(train, [("sum", label), ("count", label)])
     n_all = float(tot[("count", label)] or 0)
     g = float(tot[("sum", label)] or 0.0) / n_all if n_all else 0.0
+    stats = cut_lineage(
+        _stacked(train, cols, [("_y", y)]).groupBy("column_name", "k").agg(
+            ((F.sum("_y") + F.lit(g * m)) / (F.count(F.lit(1)) + F.lit(m))).alias("_enc")))
+    small = _is_small(stats)
     out = test
     for c in cols:
-        stats = train.groupBy(as_key(c).alias("_k")).agg(
-            ((F.sum(y) + F.lit(g * m)) / (F.count(F.lit(1)) + F.lit(m))).alias("_enc"))
-        out = lookup_join(out.withColumn("_k", as_key(c)), stats, ["_k"])
-        out = out.withColumn(c + suffix, F.coalesce(F.col("_enc"), F.lit(g))).drop("_k", "_enc")
+        out = _lookup(out, stats, c, [], ["_enc"], small)
+        out = out.withColumn(c + suffix, F.coalesce(F.col("_enc"), F.lit(g))).drop("_enc")
     return out
 
 
