@@ -181,7 +181,8 @@ class IterativeImputer:
                     or [1.0])
         cur = cut_lineage(apply_fills(self._mask(df), self.start))
         for _ in range(self.max_iter):
-            prev = cur
+            # previous values ride along as columns: the change is one aggregate, no join
+            cur = cur.select("*", *[F.col(c).alias(f"_prev_{c}") for c in order])
             for c in order:
                 others = [x for x in self.cols if x != c]
                 train = VectorAssembler(inputCols=others, outputCol="_x", handleInvalid="keep").transform(
@@ -192,9 +193,9 @@ class IterativeImputer:
                 cur = self._step(cur, c, model)
             cur = cut_lineage(cur)
             self.rounds += 1
-            delta = cur.alias("a").join(prev.alias("b"), "_rid").agg(
-                F.max(F.greatest(*[F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) for c in order]
-                                 + [F.lit(0.0)]))).first()[0] if order else 0.0
+            delta = cur.agg(F.max(F.greatest(*[F.abs(F.col(c) - F.col(f"_prev_{c}")) for c in order]
+                                             + [F.lit(0.0)]))).first()[0] if order else 0.0
+            cur = cur.drop(*[f"_prev_{c}" for c in order])
             if delta is None or delta < self.tol * scale:
                 break
         return cur.drop(*[f"_m_{c}" for c in self.cols])
@@ -210,6 +211,6 @@ def iterative_impute(train: DataFrame, test: DataFrame | None, cols: Sequence[st
                      **kw):
     """C9 on a train/test pair: fit on train only, replay on test."""
     imp = IterativeImputer(cols, **kw)
-    tr = imp.fit_transform(train.withColumn("_rid", F.col(id_col)))
+    tr = imp.fit_transform(train)
     te = imp.transform(test) if test is not None else None
-    return tr.drop("_rid"), te, imp
+    return tr, te, imp
