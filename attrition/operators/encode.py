@@ -22,6 +22,7 @@ from attrition.sources.tables import sized_broadcast
 MISSING = "nan"           # pandas astype(str) of a missing value
 SMOOTHING = 20            # reference smoothing weight m
 LOOKUP_BROADCAST_ROWS = 2_000_000
+WINDOW_RANK_ROWS = 200_000      # distinct values ranked by a window below this proven bound
 
 
 def as_key(c: str, missing: str = MISSING):
@@ -45,8 +46,14 @@ def fit_ordinal(fit: DataFrame, cols: Sequence[str]) -> DataFrame:
     cols = list(cols)
     stacked = fit.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), as_key(c).alias("value")) for c in cols])).alias("kv"))
-    distinct = stacked.select("kv.column_name", "kv.value").distinct()
-    codes = rank_within(distinct, ["value"], ["column_name"], out="code").withColumn("code", F.col("code").cast("int"))
+    distinct = cut_lineage(stacked.select("kv.column_name", "kv.value").distinct())   # one scan of the data
+    if distinct.limit(WINDOW_RANK_ROWS + 1).count() <= WINDOW_RANK_ROWS:
+        # proven small: a per-column window over at most WINDOW_RANK_ROWS values
+        from pyspark.sql.window import Window
+        codes = distinct.withColumn(
+            "code", (F.row_number().over(Window.partitionBy("column_name").orderBy("value")) - 1).cast("int"))
+    else:
+        codes = rank_within(distinct, ["value"], ["column_name"], out="code").withColumn("code", F.col("code").cast("int"))
     return cut_lineage(codes)   # one row per distinct value; every lookup below reads it
 
 

@@ -136,3 +136,12 @@ def test_knn_many_identical_points(spark):
     D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
     for i, (rid, _, _) in enumerate(rows):
         assert np.allclose(sorted(got[rid]), sorted(np.delete(D[i], i))[:3])
+
+
+def test_ordinal_codes_window_and_distributed_paths_agree(spark, monkeypatch):
+    tr = _train(spark).select("row_id", "city", "state")
+    small = {(r.column_name, r.value): r.code for r in N.fit_ordinal(tr, ["city", "state"]).collect()}
+    monkeypatch.setattr(N, "WINDOW_RANK_ROWS", 0)
+    big = {(r.column_name, r.value): r.code for r in N.fit_ordinal(tr, ["city", "state"]).collect()}
+    assert small == big
+    assert sorted(v for (c, _), v in small.items() if c == "state") == list(range(sum(1 for c, _ in small if c == "state")))
