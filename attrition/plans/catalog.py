@@ -577,7 +577,7 @@ def _prepared(spark, sf_dir):
 def _member_oof(kind):
     def fn(spark, sf_dir):
         prep = _prepared(spark, sf_dir)
-        bins = max(32, max(prep.cardinality.values()))
+        bins = max([32, *prep.cardinality.values()])
         oof, _ = M.oof_fit(prep.train, M.make_member(kind, "full", 42, "weight", SMALL_ITER, bins), 5)
         return oof.withColumn("model", F.lit(kind))
     return fn
@@ -592,7 +592,7 @@ QUERIES["m3_linear_oof"] = _member_oof("linear")
 @query("m4_early_stopping")
 def q_m4(spark, sf_dir):
     prep = _prepared(spark, sf_dir)
-    bins = max(32, max(prep.cardinality.values()))
+    bins = max([32, *prep.cardinality.values()])
     est = M.make_member("xgb", "full", 42, "weight", 30, bins)
     _, models = M.oof_fit(prep.train, est, 5, early_stop=True)
     rows = [(f, 30, len(m.trees)) for f, m in enumerate(models)]
@@ -602,7 +602,7 @@ def q_m4(spark, sf_dir):
 @query("m5_f1_early_stopping")
 def q_m5(spark, sf_dir):
     prep = _prepared(spark, sf_dir)
-    bins = max(32, max(prep.cardinality.values()))
+    bins = max([32, *prep.cardinality.values()])
     model = M.make_member("xgb", "full", 42, "weight", 12, bins).fit(prep.train.where(F.col("fold") != 0))
     return M.best_prefix_by_f1(model, prep.train.where(F.col("fold") == 0))
 
@@ -614,7 +614,7 @@ def q_m6(spark, sf_dir):
 
 def _fold_models(spark, sf_dir, kind="xgb"):
     prep = _prepared(spark, sf_dir)
-    bins = max(32, max(prep.cardinality.values()))
+    bins = max([32, *prep.cardinality.values()])
     return prep, M.oof_fit(prep.train, M.make_member(kind, "full", 42, "weight", SMALL_ITER, bins), 5)
 
 
@@ -627,7 +627,7 @@ def q_m7(spark, sf_dir):
 @query("m8_refit_full_train")
 def q_m8(spark, sf_dir):
     prep = _prepared(spark, sf_dir)
-    bins = max(32, max(prep.cardinality.values()))
+    bins = max([32, *prep.cardinality.values()])
     model = M.make_member("xgb", "full", 42, "weight", SMALL_ITER, bins).fit(prep.train)
     return model.transform(prep.test).select("row_id", M.p1().alias("p"))
 
@@ -641,7 +641,7 @@ def q_m9(spark, sf_dir):
 @query("m10_random_search")
 def q_m10(spark, sf_dir):
     prep = _prepared(spark, sf_dir)
-    bins = max(32, max(prep.cardinality.values()))
+    bins = max([32, *prep.cardinality.values()])
     data = K.stratified_folds(prep.train.drop("fold").withColumnRenamed("label", "churn"), 3, 42) \
         .withColumnRenamed("churn", "label")
     est = M.make_member("cat", "full", 42, "weight", SMALL_ITER, bins)

@@ -56,14 +56,20 @@ def prepare(spark: SparkSession, sf_dir: str, recipe: str = "full", k: int = 5,
     card = fit_stats(ftr.select(*CATEGORICALS).unionByName(fte.select(*CATEGORICALS)),
                      [("max", c) for c in CATEGORICALS])
     cardinality = {c: int(card[("max", c)] or 0) + 1 for c in CATEGORICALS}
-    for c in CATEGORICALS:                                                  # N8
-        ftr = M.with_nominal(ftr, c, cardinality[c])
-        fte = M.with_nominal(fte, c, cardinality[c])
+    # MLlib caps maxBins at the number of training rows, so a category set can be
+    # nominal only if its arity fits the smallest training fold; wider ones stay
+    # ordered codes (what the reference's label encoding gives the trees anyway)
+    n_train = sum(int(r["n"]) for r in ftr.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect())
+    min_fit_rows = n_train - (n_train + k - 1) // k
+    nominal = {c: n for c, n in cardinality.items() if n <= min_fit_rows}
+    for c, n in nominal.items():                                            # N8
+        ftr = M.with_nominal(ftr, c, n)
+        fte = M.with_nominal(fte, c, n)
     ftr = M.assemble(ftr.withColumn("label", F.col("churn").cast("double")), feats)   # N10
     fte = M.assemble(fte, feats)
     tr = cut_lineage(ftr.select("row_id", "label", "fold", "weight", "features"))
     te = cut_lineage(fte.select("row_id", "features"))
-    return Prepared(tr, te, feats, cardinality)
+    return Prepared(tr, te, feats, nominal)
 
 
 def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb", "lgb", "cat"), k: int = 5,
@@ -75,7 +81,7 @@ def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb",
     t0 = time.time()
     prep = prepare(spark, sf_dir, recipe, k, seed)
     t["prepare"] = time.time() - t0
-    max_bins = max(32, max(prep.cardinality.values()))
+    max_bins = max([32, *prep.cardinality.values()])
     oofs, tests = [], []
     for kind in members:
         t1 = time.time()
