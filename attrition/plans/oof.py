@@ -74,9 +74,12 @@ def prepare(spark: SparkSession, sf_dir: str, recipe: str = "full", k: int = 5,
 
 def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb", "lgb", "cat"), k: int = 5,
         max_iter: int | None = 20, parallelism: int | None = None, seed: int = 42,
-        timings: dict | None = None) -> dict:
+        timings: dict | None = None, output_dir: str | None = None) -> dict:
     """``parallelism``: folds fitted concurrently (default k) – each fit is a
-    chain of small MLlib jobs, so concurrent folds keep the executors busy."""
+    chain of small MLlib jobs, so concurrent folds keep the executors busy.
+    ``output_dir``: also write the submission (S4), the blended probabilities
+    (S5), one labelled file per member at its own exact-F1 cut-off (S6) and
+    append the run metrics (S7)."""
     t = timings if timings is not None else {}
     t0 = time.time()
     prep = prepare(spark, sf_dir, recipe, k, seed)
@@ -118,5 +121,18 @@ def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb",
     submission = S.hard_labels(ided, threshold)                              # M12
     check = S.output_check(submission, prep.test.count())                    # S8
     t["predict"] = time.time() - t1
+    if output_dir:
+        import os
+        S.write_csv(submission, os.path.join(output_dir, "submission"))
+        S.write_csv(ided.select("id", F.col("p").alias("churn")), os.path.join(output_dir, "submission_proba"))
+        cuts = V.best_f1_exact(long, "p", "label", keys=["model"]).select("model", "best_threshold")
+        per_model = (test_long.join(F.broadcast(cuts), "model")            # ≤ members rows
+                     .join(ided.select("row_id", "id"), "row_id")
+                     .select("id", (F.col("p") >= F.col("best_threshold")).cast("int").alias("churn"), "model"))
+        S.write_csv(per_model, os.path.join(output_dir, "per_model"), partition_by=["model"])
+        S.append_metrics(spark, os.path.join(output_dir, "run_metrics"), f"{recipe}-{seed}",
+                         {**{f"time/{k}": v for k, v in t.items()}, "eval/best_f1": float(best["best_f1"]),
+                          "eval/threshold": threshold, "eval/auc": float(auc or 0.0),
+                          **{f"blend/w{i + 1}": x for i, x in enumerate(w)}})
     return {"oof": long, "weights": w, "threshold": threshold, "best_f1": float(best["best_f1"]),
             "auc": auc, "report": report, "submission": submission, "check": check, "prepared": prep}

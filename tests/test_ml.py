@@ -35,3 +35,17 @@ def test_f1_prefix_early_stopping(spark):
     model = M.make_member("xgb", "full", 7, None, 4).fit(data.where("fold != 0"))
     best = M.best_prefix_by_f1(model, data.where("fold = 0")).collect()
     assert len(best) == 4 and best[0].best_f1 > 0.8
+
+
+def test_pipeline_writes_all_outputs(spark):
+    import os
+    from attrition.plans import oof
+    from attrition.session import scratch_path
+    out = scratch_path(spark, "pipeline-out")
+    res = oof.run(spark, SF_SMALL, max_iter=2, output_dir=out)
+    assert all(r.passed for r in res["check"].collect())
+    local = out[len("file:"):] if out.startswith("file:") else out
+    assert {"submission", "submission_proba", "per_model", "run_metrics"} <= set(os.listdir(local))
+    per_model = spark.read.option("header", True).schema("id long, churn int, model string").csv(out + "/per_model")
+    assert per_model.select("model").distinct().count() == 3
+    assert per_model.count() == 3 * res["submission"].count()
