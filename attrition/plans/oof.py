@@ -41,16 +41,55 @@ class Prepared:
     cardinality: dict = field(default_factory=dict)
 
 
+def _target_encodings(ftr: DataFrame, fte: DataFrame, k: int):
+    """f1 flow: frequency codes (N3) and smoothed target means of the four
+    categories and three pairs – out of fold on train (N4/N6, folds seeded 99),
+    from all train rows on test (N5)."""
+    from attrition.operators.encode import (combo_key, frequency_encode, target_encode_fit_apply,
+                                            target_encode_oof)
+    pairs = [("telecom_partner", "city"), ("state", "city"), ("telecom_partner", "state")]
+    for a, b in pairs:
+        ftr, fte = combo_key(ftr, a, b), combo_key(fte, a, b)
+    keys = CATEGORICALS + [f"{a}_{b}" for a, b in pairs]
+    tr_f = frequency_encode(ftr, ftr, CATEGORICALS)
+    te_f = frequency_encode(fte, ftr, CATEGORICALS)
+    tr = target_encode_oof(stratified_folds(tr_f, k, 99).withColumnRenamed("fold", "_te_fold"), keys,
+                           fold_col="_te_fold").drop("_te_fold")
+    te = target_encode_fit_apply(tr_f, te_f, keys)
+    combos = [f"{a}_{b}" for a, b in pairs]
+    return tr.drop(*combos), te.drop(*combos)
+
+
 def prepare(spark: SparkSession, sf_dir: str, recipe: str = "full", k: int = 5, seed: int = 42,
-            weights: str = "balanced") -> Prepared:
+            weights: str = "balanced", impute: str = "median", scale: bool = False,
+            target_encodings: bool = False) -> Prepared:
+    """Feature table for one flow.  ``impute``: ``median`` (C7, fitted on train)
+    or ``iterative`` (C3 winsorising + C9, fitted on train); ``scale``: N9;
+    ``target_encodings``: N3 frequency + N4/N5/N6 target means (the f1 flow)."""
     mart = cut_lineage(customer_mart(spark, sf_dir))      # many fit passes follow: build the joins once
-    train, test = train_test(mart)
-    make = recipes.RECIPES[recipe]
-    ftr, fte = make(train), make(test)
+    if recipe == "union":                                                   # R1 → cleaning → C14
+        combined = recipes.union(mart)
+        ftr = combined.filter(F.col("is_train")).drop("is_train")
+        fte = combined.filter(~F.col("is_train")).drop("is_train", "churn")
+    else:
+        train, test = train_test(mart)
+        make = recipes.RECIPES[recipe]
+        ftr, fte = make(train), make(test)
+    if target_encodings:
+        ftr, fte = _target_encodings(ftr, fte, k)
     ftr, fte = ordinal_encode(ftr, fte, CATEGORICALS, "union")              # N1
     drop = {"row_id", "churn", "date_of_registration"}
     feats = [c for c in ftr.columns if c not in drop and c in set(fte.columns)]   # C13
-    ftr, fte = median_fill_scoped(ftr, fte, "train", cols=feats)           # C7
+    if impute == "iterative":
+        from attrition.operators.clean import iterative_impute, winsorize
+        num = [c for c in feats if c not in CATEGORICALS]
+        fte, ftr = winsorize(fte, ftr, num), winsorize(ftr, ftr, num)     # C3 (train quantiles)
+        ftr, fte, _ = iterative_impute(ftr, fte, num, max_iter=3)          # C9
+    ftr, fte = median_fill_scoped(ftr, fte, "train", cols=feats)           # C7 (no-op after C9)
+    if scale:                                                               # N9
+        from attrition.operators.encode import apply_standardize, fit_standardize
+        params = fit_standardize(ftr, [c for c in feats if c not in CATEGORICALS])
+        ftr, fte = apply_standardize(ftr, params), apply_standardize(fte, params)
     ftr = stratified_folds(ftr, k, seed)                                    # K1
     ftr = with_class_weights(ftr, scheme=weights)                           # K2/K3
     card = fit_stats(ftr.select(*CATEGORICALS).unionByName(fte.select(*CATEGORICALS)),
@@ -59,7 +98,7 @@ def prepare(spark: SparkSession, sf_dir: str, recipe: str = "full", k: int = 5,
     # MLlib caps maxBins at the number of training rows, so a category set can be
     # nominal only if its arity fits the smallest training fold; wider ones stay
     # ordered codes (what the reference's label encoding gives the trees anyway)
-    n_train = sum(int(r["n"]) for r in ftr.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect())
+    n_train = sum(int(r["n"]) for r in ftr.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect())  # ≤ k rows
     min_fit_rows = n_train - (n_train + k - 1) // k
     nominal = {c: n for c, n in cardinality.items() if n <= min_fit_rows}
     for c, n in nominal.items():                                            # N8
@@ -72,9 +111,31 @@ def prepare(spark: SparkSession, sf_dir: str, recipe: str = "full", k: int = 5,
     return Prepared(tr, te, feats, nominal)
 
 
+# Flows of the reference scripts: recipe, members, blend rule, cut-off grid and
+# preprocessing options (see README).
+FLOWS = {
+    "simple": dict(recipe="simple", members=("cat",), blend="single", grid="wide"),
+    "fast": dict(recipe="fast", members=("xgb", "lgb", "cat"), blend="mean", grid="wide"),
+    "wide": dict(recipe="wide", members=("xgb", "lgb", "cat"), blend="mean", grid="wide", scale=True),
+    "v2": dict(recipe="v2", members=("xgb", "lgb", "cat"), blend="fixed", grid="v2", scale=True),
+    "full": dict(recipe="full", members=("xgb", "lgb", "cat"), blend="grid", grid="full"),
+    "f1": dict(recipe="f1", members=("cat", "lgb", "xgb"), blend="exact", grid=None, target_encodings=True),
+    "union": dict(recipe="union", members=("cat",), blend="single", grid="union"),
+    "light": dict(recipe="light", members=("cat",), blend="single", grid="light", impute="iterative"),
+    "raw": dict(recipe="raw", members=("cat",), blend="single", grid="light"),
+}
+
+
+def run_flow(spark: SparkSession, sf_dir: str, flow: str = "full", **kw) -> dict:
+    """Run one of the reference's flows end to end (``FLOWS``)."""
+    return run(spark, sf_dir, **{**FLOWS[flow], **kw})
+
+
 def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb", "lgb", "cat"), k: int = 5,
         max_iter: int | None = 20, parallelism: int | None = None, seed: int = 42,
-        timings: dict | None = None, output_dir: str | None = None) -> dict:
+        timings: dict | None = None, output_dir: str | None = None, blend: str = "grid",
+        grid: str | None = "full", impute: str = "median", scale: bool = False,
+        target_encodings: bool = False) -> dict:
     """``parallelism``: folds fitted concurrently (default k) – each fit is a
     chain of small MLlib jobs, so concurrent folds keep the executors busy.
     ``output_dir``: also write the submission (S4), the blended probabilities
@@ -82,7 +143,8 @@ def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb",
     append the run metrics (S7)."""
     t = timings if timings is not None else {}
     t0 = time.time()
-    prep = prepare(spark, sf_dir, recipe, k, seed)
+    prep = prepare(spark, sf_dir, recipe, k, seed, impute=impute, scale=scale,
+                   target_encodings=target_encodings)
     t["prepare"] = time.time() - t0
     max_bins = max([32, *prep.cardinality.values()])
     oofs, tests = [], []
@@ -99,13 +161,22 @@ def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb",
         long = long.unionByName(o)
     long = cut_lineage(long)
     wide = B.pivot_scores(long, list(members))
-    if len(members) == 3:
-        best_w = B.grid_search(wide, list(members), V.grid("full")).first()
-        w = [best_w[f"w{i + 1}"] for i in range(3)]
-    else:
-        w = [1.0 / len(members)] * len(members)
-    blended = wide.withColumn("p", B.weighted(list(members), w))
-    best = V.best_threshold(blended, V.grid("full"), "p", "label").first()
+    names = list(members)
+    if blend == "grid" and len(names) == 3:                                # B3
+        row = B.grid_search(wide, names, V.grid(grid or "full")).first()
+        w = [row[f"w{i + 1}"] for i in range(3)]
+    elif blend == "exact":                                                  # B4 / B5
+        row = B.exact_search(wide, names, "label").first()
+        w = [row[f"w{i + 1}"] for i in range(len(names))]
+    elif blend == "fixed" and len(names) == 3:                             # B2
+        w = [x / sum(B.V2_WEIGHTS) for x in B.V2_WEIGHTS]
+    else:                                                                   # B1 / single member
+        w = [1.0 / len(names)] * len(names)
+    blended = wide.withColumn("p", B.weighted(names, w))
+    if grid is None:                                                        # V3: exact cut-off
+        best = V.best_f1_exact(blended, "p", "label").first()
+    else:                                                                   # V2 (+ V9 columns)
+        best = V.best_threshold(blended, V.grid(grid), "p", "label").first()
     threshold = float(best["best_threshold"])
     auc = V.roc_auc(blended, "p", "label").first()["auc"]
     report = V.classification_report(blended, threshold, "p", "label")

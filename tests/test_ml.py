@@ -49,3 +49,12 @@ def test_pipeline_writes_all_outputs(spark):
     per_model = spark.read.option("header", True).schema("id long, churn int, model string").csv(out + "/per_model")
     assert per_model.select("model").distinct().count() == 3
     assert per_model.count() == 3 * res["submission"].count()
+
+
+def test_reference_flows_run_end_to_end(spark):
+    from attrition.plans import oof
+    for flow in ("simple", "f1", "union"):
+        res = oof.run_flow(spark, SF_SMALL, flow, max_iter=2)
+        assert all(r.passed for r in res["check"].collect()), flow
+        assert abs(sum(res["weights"]) - 1.0) < 1e-9
+        assert 0.0 <= res["best_f1"] <= 1.0
