@@ -94,12 +94,39 @@ def make_member(kind: str, recipe: str = "full", seed: int = 42, weight_col: str
 
 
 # ---------------------------------------------------------------- M6 / M7 / M9
+def resample_training(train: DataFrame, feature_names: Sequence[str], nominal: dict | None = None,
+                      kind: str = "smote", seed: int = 42, id_col: str = "row_id") -> DataFrame:
+    """K4/K5 on an assembled training set: the vector is unpacked to columns,
+    resampled (category codes copied from the base row), re-assembled with the
+    nominal metadata, and weighted 1.0 (balanced classes after resampling)."""
+    from attrition.operators import resample as RS
+    nominal = nominal or {}
+    cols = [f"_f{i}" for i in range(len(feature_names))]
+    arr = vector_to_array(F.col("features"))
+    flat = train.select(id_col, F.col("label").cast("int").alias("label"),
+                        *[arr.getItem(i).alias(c) for i, c in enumerate(cols)])
+    cat = [c for c, name in zip(cols, feature_names) if name in nominal]
+    if kind == "smote":
+        out = RS.smote(flat, cols, label="label", id_col=id_col, k=5, seed=seed, categorical=cat)
+    else:
+        out = RS.smote_tomek(flat, cols, label="label", id_col=id_col, k=5, seed=seed, categorical=cat)
+    for c, name in zip(cols, feature_names):
+        if name in nominal:
+            out = with_nominal(out, c, nominal[name])
+    out = assemble(out.withColumn("label", F.col("label").cast("double")), cols)
+    return out.select(id_col, "label", F.lit(1.0).alias("weight"), "features")
+
+
 def oof_fit(df: DataFrame, estimator, k: int, fold_col: str = "fold", label: str = "label",
-            id_col: str = "row_id", parallelism: int = 1, early_stop: bool = False):
+            id_col: str = "row_id", parallelism: int = 1, early_stop: bool = False,
+            resample: str | None = None, feature_names: Sequence[str] = (), nominal: dict | None = None,
+            seed: int = 42):
     """M6: fit on k−1 folds, score the held-out fold; returns (oof scores, models).
 
     With ``early_stop`` the held-out fold doubles as the validation set of the
     GBT (M4), exactly as the reference passes ``eval_set=(X_val, y_val)``.
+    ``resample`` (``smote`` / ``smote_tomek``) resamples the training folds only
+    (K4/K5), never the held-out fold.
     """
     def fit_one(f):
         if early_stop:
@@ -107,7 +134,10 @@ def oof_fit(df: DataFrame, estimator, k: int, fold_col: str = "fold", label: str
             est = estimator.copy().setValidationIndicatorCol("_is_val")
             est.set(est.validationTol, 1e-4)
             return est.fit(data)
-        return estimator.copy().fit(df.where(F.col(fold_col) != f))
+        data = df.where(F.col(fold_col) != f)
+        if resample:
+            data = resample_training(data, feature_names, nominal, resample, seed + f, id_col)
+        return estimator.copy().fit(data)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         models = list(pool.map(fit_one, range(k)))

@@ -116,7 +116,8 @@ def prepare(spark: SparkSession, sf_dir: str, recipe: str = "full", k: int = 5,
 FLOWS = {
     "simple": dict(recipe="simple", members=("cat",), blend="single", grid="wide"),
     "fast": dict(recipe="fast", members=("xgb", "lgb", "cat"), blend="mean", grid="wide"),
-    "wide": dict(recipe="wide", members=("xgb", "lgb", "cat"), blend="mean", grid="wide", scale=True),
+    "wide": dict(recipe="wide", members=("xgb", "lgb", "cat"), blend="mean", grid="wide", scale=True,
+                 resample="smote", resample_members=("lgb", "cat")),
     "v2": dict(recipe="v2", members=("xgb", "lgb", "cat"), blend="fixed", grid="v2", scale=True),
     "full": dict(recipe="full", members=("xgb", "lgb", "cat"), blend="grid", grid="full"),
     "f1": dict(recipe="f1", members=("cat", "lgb", "xgb"), blend="exact", grid=None, target_encodings=True),
@@ -135,7 +136,8 @@ def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb",
         max_iter: int | None = 20, parallelism: int | None = None, seed: int = 42,
         timings: dict | None = None, output_dir: str | None = None, blend: str = "grid",
         grid: str | None = "full", impute: str = "median", scale: bool = False,
-        target_encodings: bool = False) -> dict:
+        target_encodings: bool = False, resample: str | None = None,
+        resample_members: tuple = ("lgb", "cat")) -> dict:
     """``parallelism``: folds fitted concurrently (default k) – each fit is a
     chain of small MLlib jobs, so concurrent folds keep the executors busy.
     ``output_dir``: also write the submission (S4), the blended probabilities
@@ -151,7 +153,9 @@ def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb",
     for kind in members:
         t1 = time.time()
         est = M.make_member(kind, recipe, seed, "weight", max_iter, max_bins)
-        oof, models = M.oof_fit(prep.train, est, k, parallelism=parallelism or k)
+        rs = resample if kind in resample_members else None
+        oof, models = M.oof_fit(prep.train, est, k, parallelism=parallelism or k, resample=rs,
+                                feature_names=prep.feature_cols, nominal=prep.cardinality, seed=seed)
         tests.append(M.fold_mean_scores(prep.test, models).withColumn("model", F.lit(kind)))
         oofs.append(oof.withColumn("model", F.lit(kind)))
         t[f"fit_{kind}"] = time.time() - t1

@@ -58,3 +58,14 @@ def test_reference_flows_run_end_to_end(spark):
         assert all(r.passed for r in res["check"].collect()), flow
         assert abs(sum(res["weights"]) - 1.0) < 1e-9
         assert 0.0 <= res["best_f1"] <= 1.0
+
+
+def test_resample_training_balances_and_keeps_nominal(spark):
+    from attrition.plans import oof
+    prep = oof.prepare(spark, SF_SMALL, "simple")
+    out = M.resample_training(prep.train.where("fold != 0"), prep.feature_cols, prep.cardinality, "smote", 3)
+    counts = {r.label: r["count"] for r in out.groupBy("label").count().collect()}
+    assert counts[0.0] == counts[1.0]
+    assert {r.weight for r in out.select("weight").distinct().collect()} == {1.0}
+    attrs = out.schema["features"].metadata["ml_attr"]["attrs"]
+    assert len(attrs.get("nominal", [])) == len(prep.cardinality)
