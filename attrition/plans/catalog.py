@@ -85,8 +85,16 @@ def _pair(spark, sf_dir):
     return train_test(customer_mart(spark, sf_dir))
 
 
+_SCORES: dict = {}
+
+
 def _scores(spark, sf_dir):
-    return pseudo_scores(_train(spark, sf_dir))
+    """Deterministic score table, checkpointed once per session and input folder."""
+    from attrition.session import cut_lineage
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SCORES:
+        _SCORES[key] = cut_lineage(pseudo_scores(_train(spark, sf_dir)))
+    return _SCORES[key]
 
 
 def _wide_scores(spark, sf_dir):
