@@ -8,7 +8,10 @@ runs and tests – a scratch folder is created under /tmp.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,27 +45,68 @@ def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = No
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for reliable checkpoints and intermediate tables."""
+    """Shared folder for intermediate tables: ``spark.checkpoint.dir`` of the
+    session.  A folder of this machine is made only where the setting is absent
+    and the master is ``local``; on a cluster an absent setting is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: only happens in local runs and tests.
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="attrition-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a Parquet table in the shared folder and read it
+    back (survives executor loss; later plans prune columns and push filters)."""
+    return write_table(df, "cut")
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh Parquet table in the shared folder, read back
+    with ``df``'s schema."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Remove the files behind a table that ``write_table`` returned and that no
+    later plan reads."""
+    spark = df.sparkSession
+    root = os.path.join(checkpoint_dir(spark), "tables")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        if os.path.basename(os.path.dirname(folder)) == "tables" and os.path.basename(root) == "tables":
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for an intermediate or output table inside the shared
-    checkpoint folder (never a machine-local temp folder on a cluster)."""
-    import uuid
+    folder (never a machine-local temp folder on a cluster)."""
     return os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor,
+    whatever folder the driver was started from.  Once per SparkContext."""
+    sc = spark.sparkContext
+    if getattr(sc, "_attrition_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="attrition-code-"), "attrition.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(top):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    sc._attrition_shipped = True
