@@ -1,26 +1,28 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 A logistic classifier on distinct hashed words is trained with numpy from
-confirmed toxic documents (P) and other training text, taken as unlabelled (U),
-with the class-prior-corrected risk
+confirmed toxic documents (P) and a sample of all training text, taken as
+unlabelled (U, confirmed ones included, so pi holds in it), with the class-prior-corrected risk
 
     R = pi * E_P[l(+f)] + max(0, E_U[l(-f)] - pi * E_P[l(-f)]),
 
 l the logistic loss.  Where the estimate of the negative part falls below 0, a
 step descends on that part alone, the other way round (the non-negative
 correction).  pi is the share of toxic among all labelled training rows.  Steps
-are Adagrad with a proximal L1 term; features seen in fewer than ``min_docs``
-sampled documents keep weight 0.
+are Adagrad with a proximal L1 term.  Features seen in fewer than ``min_docs``
+sampled documents, or whose document frequencies in P and U differ by fewer than
+``min_z`` standard errors, keep weight 0: the many common words of a long text
+would otherwise add up to noise.
 
 The classifier is fitted on a bounded sample: at most about ``max_positive`` toxic
-and ``max_unlabelled`` other training documents, chosen by a hash of the id; the
+and ``max_unlabelled`` unlabelled training documents, chosen by a hash of the id; the
 class prior and the scores cover all rows.  The sample is trained in one task
 (its size is fixed by these parameters); the weights are one row of ``1 << bits``
 numbers.
 
 Defined cases: null text is an empty text, scored by the bias alone; null labels
-and ids are not learned from; without a toxic training row, or without any other
-training text, every score is pi; repeated rows get equal scores; an empty table
+and ids are not learned from; without a toxic training row or without training
+text, every score is pi; repeated rows get equal scores; an empty table
 gives an empty result; input columns named ``score`` or ``predicted`` are replaced.
 """
 
@@ -43,6 +45,7 @@ BITS = 18
 MAX_POSITIVE = 8_000
 MAX_UNLABELLED = 24_000
 MIN_DOCS = 8
+MIN_Z = 4.0
 THRESHOLD = 0.3
 
 
@@ -62,40 +65,44 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, size: int, min_docs: int = MIN_DOCS,
-             epochs: int = 12, batch: int = 512, rate: float = 0.3, l1: float = 2e-4, seed: int = 1) -> tuple[np.ndarray, float]:
-    """Weights and bias from feature lists of P and U documents."""
-    df = np.bincount(np.concatenate([*positive, *unlabelled]), minlength=size)
-    keep = df >= min_docs
-    p, u = [x[keep[x]] for x in positive], [x[keep[x]] for x in unlabelled]
-    w, bias = np.zeros(size), float(np.log(prior / (1 - prior)))
-    energy, bias_energy = np.full(size, 1e-6), 1e-6
-    rng = np.random.default_rng(seed)
-    steps = max(1, -(-max(len(p), len(u)) // batch))
+def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, size: int, min_docs: int = MIN_DOCS, min_z: float = MIN_Z,
+             steps: int = 500, rate: float = 0.5, l1: float = 2e-5) -> tuple[np.ndarray, float]:
+    """Weights and bias from feature lists of P and U documents (full batches:
+    the sign of the negative part is noisy on small ones)."""
+    in_p, in_u = (np.bincount(np.concatenate(x), minlength=size) for x in (positive, unlabelled))
+    share = (in_p + in_u) / (len(positive) + len(unlabelled))
+    error = np.sqrt(share * (1 - share) * (1 / len(positive) + 1 / len(unlabelled)))
+    apart = np.abs(in_p / len(positive) - in_u / len(unlabelled))
+    used = np.flatnonzero((in_p + in_u >= min_docs) & (apart >= min_z * error))
+    column = np.full(size, -1)
+    column[used] = np.arange(len(used))
 
     def pack(docs):
-        n = np.array([len(x) for x in docs])
-        return np.concatenate(docs) if len(docs) else np.zeros(0, np.int64), np.concatenate([[0], np.cumsum(n)])
-
-    for epoch in range(epochs):
-        for _ in range(steps):
-            ip, fp = pack([p[i] for i in rng.integers(0, len(p), min(batch, len(p)))])
-            iu, fu = pack([u[i] for i in rng.integers(0, len(u), min(batch, len(u)))])
-            sp, su = _sums(w[ip], fp) + bias, _sums(w[iu], fu) + bias
-            negative = np.logaddexp(0, su).mean() - prior * np.logaddexp(0, sp).mean()
-            # derivatives of the mean losses by the scores
-            up, down, other = -_sigmoid(-sp) / len(sp), _sigmoid(sp) / len(sp), _sigmoid(su) / len(su)
-            gp, gu = (prior * (up - down), other) if negative >= 0 else (prior * down, -other)
-            g = np.bincount(ip, np.repeat(gp, np.diff(fp)), size) + np.bincount(iu, np.repeat(gu, np.diff(fu)), size)
-            seen = np.flatnonzero(g)
-            energy[seen] += g[seen] ** 2
-            scale = rate / np.sqrt(energy[seen])
-            moved = w[seen] - scale * g[seen]
-            w[seen] = np.sign(moved) * np.maximum(np.abs(moved) - scale * l1, 0)
-            gb = gp.sum() + gu.sum()
-            bias_energy += gb ** 2
-            bias -= rate / np.sqrt(bias_energy) * gb
-    return w, bias
+        own = [column[x] for x in docs]
+        own = [x[x >= 0] for x in own]
+        return np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])])
+
+    (ip, fp), (iu, fu) = pack(positive), pack(unlabelled)
+    rp, ru = (np.repeat(np.arange(len(f) - 1), np.diff(f)) for f in (fp, fu))
+    w, bias = np.zeros(len(used)), float(np.log(prior / (1 - prior)))
+    energy, bias_energy = np.full(len(used), 1e-8), 1e-8
+    for _ in range(steps):
+        sp, su = _sums(w[ip], fp) + bias, _sums(w[iu], fu) + bias
+        negative = np.logaddexp(0, su).mean() - prior * np.logaddexp(0, sp).mean()
+        # derivatives of the mean losses by the scores
+        up, down, other = -_sigmoid(-sp) / len(sp), _sigmoid(sp) / len(sp), _sigmoid(su) / len(su)
+        gp, gu = (prior * (up - down), other) if negative >= 0 else (prior * down, -other)
+        g = np.bincount(ip, gp[rp], len(used)) + np.bincount(iu, gu[ru], len(used))
+        energy += g ** 2
+        scale = rate / np.sqrt(energy)
+        moved = w - scale * g
+        w = np.sign(moved) * np.maximum(np.abs(moved) - scale * l1, 0)
+        gb = gp.sum() + gu.sum()
+        bias_energy += gb ** 2
+        bias -= rate / np.sqrt(bias_energy) * gb
+    full = np.zeros(size)
+    full[used] = w
+    return full, bias
 
 
 def train(docs: DataFrame, labels: DataFrame, usable, text: str = "text", id_col: str = "doc_id", label: str = "toxic",
@@ -109,15 +116,17 @@ def train(docs: DataFrame, labels: DataFrame, usable, text: str = "text", id_col
     n_toxic = n_toxic or 0
     prior = min(0.99, max(0.01, n_toxic / n_labelled)) if n_labelled else 0.01
     n_docs = docs.where(usable).count()
-    if not n_toxic or n_docs <= n_toxic:
+    if not n_toxic or not n_docs:
         return np.zeros(1 << bits), float(np.log(prior / (1 - prior))), prior
-    part = F.pmod(F.xxhash64(F.col("id"), F.lit("sample")), F.lit(1_000_000))
-    taken = F.when(F.col("positive"), F.lit(max_positive / n_toxic)).otherwise(F.lit(max_unlabelled / (n_docs - n_toxic))) * 1_000_000
+    def drawn(salt: str, share: float):
+        return F.pmod(F.xxhash64(F.col("id"), F.lit(salt)), F.lit(1_000_000)) < share * 1_000_000
+
     toxic = marks.where("toxic = 1").select("id", F.lit(True).alias("found"))
-    sample = (docs.where(usable).select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-              .where(part < max(max_positive / n_toxic, max_unlabelled / (n_docs - n_toxic)) * 1_000_000)
-              .join(toxic, "id", "left").withColumn("positive", F.coalesce("found", F.lit(False)))
-              .where(part < taken).select("positive", "text"))
+    in_p, in_u = drawn("positive", max_positive / n_toxic), drawn("unlabelled", max_unlabelled / n_docs)
+    sample = (docs.where(usable).select(F.col(id_col).alias("id"), F.col(text).alias("text")).where(in_p | in_u)
+              .join(toxic, "id", "left")
+              .select((F.coalesce("found", F.lit(False)) & in_p).alias("positive"), in_u.alias("unlabelled"), "text")
+              .where("positive or unlabelled"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,18 +134,18 @@ def train(docs: DataFrame, labels: DataFrame, usable, text: str = "text", id_col
                 part = batch.slice(lo, n)
                 ids, first = features(split_words(part.column("text"), lower=True, alnum=True), bits)
                 ids = ids.astype("<u4")
-                yield pa.RecordBatch.from_arrays([part.column("positive"), pa.array([ids[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())],
-                                                 names=["positive", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column("positive"), part.column("unlabelled"),
+                                                  pa.array([ids[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())],
+                                                 names=["positive", "unlabelled", "ids"])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = sorted(zip(pdf["positive"].tolist(), pdf["ids"].tolist()))
-        lists = {side: [np.frombuffer(x, "<u4").astype(np.int64) for s, x in rows if s == side] for side in (True, False)}
-        if not lists[True] or not lists[False]:
+        chosen = {side: [np.frombuffer(x, "<u4").astype(np.int64) for x in sorted(pdf.loc[pdf[side], "ids"])] for side in ("positive", "unlabelled")}
+        if not chosen["positive"] or not chosen["unlabelled"]:
             return pd.DataFrame({"weights": [np.zeros(1 << bits, "<f8").tobytes()], "bias": [float(np.log(prior / (1 - prior)))]})
-        w, bias = fit_nnpu(lists[True], lists[False], prior, 1 << bits)
+        w, bias = fit_nnpu(chosen["positive"], chosen["unlabelled"], prior, 1 << bits)
         return pd.DataFrame({"weights": [w.astype("<f8").tobytes()], "bias": [bias]})
 
-    rows = sample.mapInArrow(extract, "positive boolean, ids binary").groupBy(F.lit("sample").alias("all")).applyInPandas(fit, "weights binary, bias double").collect()
+    rows = sample.mapInArrow(extract, "positive boolean, unlabelled boolean, ids binary").groupBy(F.lit("sample").alias("all")).applyInPandas(fit, "weights binary, bias double").collect()
     if not rows:
         return np.zeros(1 << bits), float(np.log(prior / (1 - prior))), prior
     return np.frombuffer(rows[0]["weights"], "<f8"), rows[0]["bias"], prior
