@@ -180,8 +180,9 @@ def spread(values: list[bytes], index: np.ndarray, first: np.ndarray) -> tuple[n
     n = size[index]
     ends = np.cumsum(n)
     source = np.frombuffer(b"".join(values), np.uint8)
-    place = np.repeat(start[index] - (ends - n), n)
-    place += np.arange(len(place))
+    kind = np.int32 if len(index) == 0 or ends[-1] < 1 << 31 and len(source) < 1 << 31 else np.int64
+    place = np.repeat((start[index] - (ends - n)).astype(kind), n)
+    place += np.arange(len(place), dtype=kind)
     return source[place], np.concatenate([[0], ends])[first]
 
 
@@ -219,7 +220,7 @@ class WordMemo:
         return out
 
 
-def slices(column: pa.Array, size: int = 10 << 20):
+def slices(column: pa.Array, size: int = 3 << 20):
     """``(from, number)`` of rows whose texts take about ``size`` bytes together."""
     offsets = utf8(column)[1]
     lo = 0
