@@ -7,6 +7,7 @@ runs and tests – a scratch folder is created under /tmp.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import tempfile
@@ -67,25 +68,41 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return write_table(df, "cut")
 
 
+_collecting: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def collect_tables():
+    """The paths of all tables that ``write_table`` makes inside the block."""
+    _collecting.append([])
+    try:
+        yield _collecting[-1]
+    finally:
+        _collecting.pop()
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a fresh Parquet table in the shared folder, read back
     with ``df``'s schema."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for paths in _collecting:
+        paths.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._attrition_path = path
+    return out
 
 
-def drop_table(df: DataFrame) -> None:
-    """Remove the files behind a table that ``write_table`` returned and that no
-    later plan reads."""
-    spark = df.sparkSession
-    root = os.path.join(checkpoint_dir(spark), "tables")
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
-        if os.path.basename(os.path.dirname(folder)) == "tables" and os.path.basename(root) == "tables":
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+def drop_table(table: DataFrame) -> None:
+    """Remove the files behind a table that ``write_table`` returned, once no later
+    plan reads it."""
+    drop_path(table.sparkSession, table._attrition_path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
