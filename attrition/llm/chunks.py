@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from attrition.session import ship_package, write_table
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrition.session import write_table
+from attrition.session import drop_table, write_table
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -23,12 +23,14 @@ def connected_components(links: DataFrame) -> DataFrame:
     labels = write_table(both.groupBy("a").agg(F.min("b").alias("m"))
                          .select(F.col("a").alias("id"), F.least("a", "m").alias("component")), "labels")
     while True:
-        near = (both.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("component").alias("m")))
+        near = both.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("m"))
         stepped = (labels.join(near.withColumnRenamed("a", "id"), "id")
                    .select("id", F.col("component").alias("old"), F.least("component", "m").alias("component")))
         up = labels.select(F.col("id").alias("component"), F.col("component").alias("up"))
         jumped = write_table(stepped.join(up, "component", "left")
                              .select("id", "old", F.least("component", F.coalesce("up", "component")).alias("component")), "labels")
-        labels = jumped.select("id", "component")
+        drop_table(labels)
+        labels = jumped
         if not jumped.where("component <> old").limit(1).count():
-            return labels
+            drop_table(both)
+            return labels.select("id", "component")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.llm.components import connected_components
-from attrition.session import ship_package, write_table
+from attrition.session import drop_table, ship_package, write_table
 
 BUCKET = 128
 BLOCK = 512
@@ -150,6 +150,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, id_col: str = "vec_id
         return kept.add_column(2, "links", pa.array(links, pa.int64())).append_column("to", pa.array(to, pa.int64()))
 
     found = write_table(members.groupBy("label", "t", "key", "p", "q").applyInArrow(compare, "label string, same binary, links long, rep long, to long"), "found")
+    drop_table(rows)
     others = found.groupBy("label", "same").agg(F.sum("links").alias("links"))
     counts = classes.select("label", "same", "rep", "n").join(others, ["label", "same"], "left")
     ids = marked.select("id", "label", "same").join(counts, ["label", "same"], "left")

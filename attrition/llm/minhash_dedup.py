@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from attrition.llm.components import connected_components
 from attrition.llm.words import Words, mix64, sequence_hash, split_words, whole_hash
-from attrition.session import ship_package, write_table
+from attrition.session import drop_table, ship_package, write_table
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
@@ -207,6 +207,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     rest = write_table(members.groupBy("key", "p", "q").applyInPandas(test_block, "a long, b long"), "rest")
     all_links = links.unionByName(rest).unionByName(copies)
     final = connected_components(all_links)
+    for done in (pairs, sets, placed, links, rest):
+        drop_table(done)
     return (signed.select("id", "n_shingles").join(final, "id", "left")
             .select(F.col("id").alias(id_col), "n_shingles",
                     F.coalesce("component", "id").alias("component_id"))
