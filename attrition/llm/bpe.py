@@ -220,13 +220,14 @@ class WordMemo:
         return out
 
 
-def slices(column: pa.Array, size: int = 3 << 20):
+def slices(column: pa.Array, size: int = 2 << 20):
     """``(from, number)`` of rows whose texts take about ``size`` bytes together."""
     offsets = utf8(column)[1]
     lo = 0
     while lo < len(column):
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
         yield lo, hi - lo
+        pa.default_memory_pool().release_unused()
         lo = hi
 
 

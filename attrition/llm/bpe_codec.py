@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from attrition.llm.bpe import WordMemo, load, slices, spread, vocabulary
 from attrition.session import ship_package
 
-MEMO_WORDS = 100_000
+MEMO_WORDS = 80_000
 RESULT = [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.StringType())]
 
 

@@ -33,6 +33,7 @@ from attrition.session import ship_package
 PROFILE = 400
 UNKNOWN_BITS = 15
 SLOT_BITS = 20
+SLICE = 1 << 20          # bytes of text at a time: an n-gram code takes 8 bytes
 _letters: list[np.ndarray] = []
 
 
@@ -153,7 +154,7 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", prof
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, n in slices(batch.column("text")):
+            for lo, n in slices(batch.column("text"), SLICE):
                 part = batch.slice(lo, n)
                 names = np.array(part.column("lang").to_pylist(), object)
                 texts = np.array(part.column("text").to_pylist(), object)
@@ -181,7 +182,7 @@ def identify(docs: DataFrame, profiles: list[tuple[str, int, int]], text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Profiles(held.value, profile)
         for batch in batches:
-            for lo, n in slices(batch.column(text)):
+            for lo, n in slices(batch.column(text), SLICE):
                 part = batch.slice(lo, n)
                 langs, scores = model.predict(part.column(text).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],

@@ -41,7 +41,7 @@ from attrition.session import scratch_path, ship_package
 
 BLOCK = 1 << 16
 FILE_IDS = 2 << 20
-MEMO_WORDS = 100_000
+MEMO_WORDS = 80_000
 _HEAD = struct.Struct("<4sBIQQQQ")
 
 
