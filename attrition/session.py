@@ -113,8 +113,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of every executor,
-    whatever folder the driver was started from.  Once per SparkContext."""
+    whatever folder the driver was started from.  Once per SparkContext.  Rows that
+    go to those workers are whole documents or chunks, so a batch is bounded by
+    rows and bytes where the session has Spark's defaults."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     if getattr(sc, "_attrition_shipped", False):
         return
     top = os.path.dirname(os.path.abspath(__file__))
