@@ -22,9 +22,12 @@ def fold_hash(seed: int, id_col: str = "row_id"):
 
 def stratified_folds(df: DataFrame, k: int = 5, seed: int = 42, label: str = "churn",
                      id_col: str = "row_id", out: str = "fold") -> DataFrame:
-    """K1: add ``fold`` ∈ [0, k)."""
-    ranked = rank_within(df.withColumn("_h", fold_hash(seed, id_col)), ["_h", id_col], [label])
-    return ranked.withColumn(out, (F.col("_pos") % k).cast("int")).drop("_h", "_pos")
+    """K1: add ``fold`` ∈ [0, k).  Rows with a NULL label are a class of their own,
+    so every row has a fold."""
+    keyed = (df.withColumn("_h", fold_hash(seed, id_col))
+             .withColumn("_class", F.coalesce(F.col(label).cast("string"), F.lit("null"))))
+    ranked = rank_within(keyed, ["_h", id_col], ["_class"])
+    return ranked.withColumn(out, (F.col("_pos") % k).cast("int")).drop("_h", "_class", "_pos")
 
 
 def class_counts(df: DataFrame, label: str = "churn") -> tuple[int, int]:

@@ -129,15 +129,18 @@ def oof_fit(df: DataFrame, estimator, k: int, fold_col: str = "fold", label: str
     (K4/K5), never the held-out fold.
     """
     def fit_one(f):
-        if early_stop:
-            data = df.withColumn("_is_val", F.col(fold_col) == f)
-            est = estimator.copy().setValidationIndicatorCol("_is_val")
-            est.set(est.validationTol, 1e-4)
-            return est.fit(data)
         data = df.where(F.col(fold_col) != f)
         if resample:
             data = resample_training(data, feature_names, nominal, resample, seed + f, id_col)
-        return estimator.copy().fit(data)
+        est = estimator.copy()
+        if early_stop and est.hasParam("validationIndicatorCol"):   # members without it fit as they are
+            held = df.where(F.col(fold_col) == f)
+            both = [c for c in data.columns if c in held.columns]
+            data = (data.select(*both).withColumn("_is_val", F.lit(False))
+                    .unionByName(held.select(*both).withColumn("_is_val", F.lit(True))))
+            est.setValidationIndicatorCol("_is_val")
+            est.set(est.validationTol, 1e-4)
+        return est.fit(data)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         models = list(pool.map(fit_one, range(k)))

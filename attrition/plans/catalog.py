@@ -740,7 +740,7 @@ def q_b5(spark, sf_dir):
     u = md5_fraction(F.concat_ws(":", F.lit("mix"), F.col("row_id").cast("string")))
     wide = wide.withColumn("mix", F.lit(0.5) * u + F.lit(0.5) * F.col("label"))
     cols = MODELS + ["mix"]
-    return B.exact_search(wide, cols, "label", B.simplex_candidates(4))
+    return B.exact_search(wide, cols, "label", B.dirichlet_candidates(4))
 
 
 def _docs(spark, sf_dir):

@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from attrition.operators.clean import sweep_inf
 from attrition.operators import blend as B
 from attrition.operators import evaluate as V
 from attrition.operators import train as M
@@ -66,7 +67,8 @@ def prepare(spark: SparkSession, sf_dir: str, recipe: str = "full", k: int = 5,
     """Feature table for one flow.  ``impute``: ``median`` (C7, fitted on train)
     or ``iterative`` (C3 winsorising + C9, fitted on train); ``scale``: N9;
     ``target_encodings``: N3 frequency + N4/N5/N6 target means (the f1 flow)."""
-    mart = cut_lineage(customer_mart(spark, sf_dir))      # many fit passes follow: build the joins once
+    # many fit passes follow: build the joins once; C1 first, no flow trains on ±inf
+    mart = cut_lineage(sweep_inf(customer_mart(spark, sf_dir)))
     if recipe == "union":                                                   # R1 → cleaning → C14
         combined = recipes.union(mart)
         ftr = combined.filter(F.col("is_train")).drop("is_train")
@@ -84,7 +86,7 @@ def prepare(spark: SparkSession, sf_dir: str, recipe: str = "full", k: int = 5,
         from attrition.operators.clean import iterative_impute, winsorize
         num = [c for c in feats if c not in CATEGORICALS]
         fte, ftr = winsorize(fte, ftr, num), winsorize(ftr, ftr, num)     # C3 (train quantiles)
-        ftr, fte, _ = iterative_impute(ftr, fte, num, max_iter=3)          # C9
+        ftr, fte, _ = iterative_impute(ftr, fte, num, max_iter=10)         # C9
     ftr, fte = median_fill_scoped(ftr, fte, "train", cols=feats)           # C7 (no-op after C9)
     if scale:                                                               # N9
         from attrition.operators.encode import apply_standardize, fit_standardize
@@ -133,12 +135,14 @@ def run_flow(spark: SparkSession, sf_dir: str, flow: str = "full", **kw) -> dict
 
 
 def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb", "lgb", "cat"), k: int = 5,
-        max_iter: int | None = 20, parallelism: int | None = None, seed: int = 42,
+        max_iter: int | None = None, parallelism: int | None = None, seed: int = 42,
         timings: dict | None = None, output_dir: str | None = None, blend: str = "grid",
         grid: str | None = "full", impute: str = "median", scale: bool = False,
         target_encodings: bool = False, resample: str | None = None,
-        resample_members: tuple = ("lgb", "cat")) -> dict:
-    """``parallelism``: folds fitted concurrently (default k) – each fit is a
+        resample_members: tuple = ("lgb", "cat"), early_stop: bool = False) -> dict:
+    """``max_iter``: trees a member (None: the recipe's preset).  ``early_stop``: M4 on
+    the held-out fold, with resampling where that is asked for too.
+    ``parallelism``: folds fitted concurrently (default k) – each fit is a
     chain of small MLlib jobs, so concurrent folds keep the executors busy.
     ``output_dir``: also write the submission (S4), the blended probabilities
     (S5), one labelled file per member at its own exact-F1 cut-off (S6) and
@@ -154,7 +158,7 @@ def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb",
         t1 = time.time()
         est = M.make_member(kind, recipe, seed, "weight", max_iter, max_bins)
         rs = resample if kind in resample_members else None
-        oof, models = M.oof_fit(prep.train, est, k, parallelism=parallelism or k, resample=rs,
+        oof, models = M.oof_fit(prep.train, est, k, parallelism=parallelism or k, early_stop=early_stop, resample=rs,
                                 feature_names=prep.feature_cols, nominal=prep.cardinality, seed=seed)
         tests.append(M.fold_mean_scores(prep.test, models).withColumn("model", F.lit(kind)))
         oofs.append(oof.withColumn("model", F.lit(kind)))
@@ -166,13 +170,16 @@ def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb",
     long = cut_lineage(long)
     wide = B.pivot_scores(long, list(members))
     names = list(members)
-    if blend == "grid" and len(names) == 3:                                # B3
-        row = B.grid_search(wide, names, V.grid(grid or "full")).first()
-        w = [row[f"w{i + 1}"] for i in range(3)]
+    if blend == "fixed" and len(names) != len(B.V2_WEIGHTS):
+        raise ValueError(f"the fixed blend has {len(B.V2_WEIGHTS)} weights, not {len(names)}")
+    if blend == "grid" and len(names) > 1:                                 # B3
+        cands = None if len(names) == 3 else B.simplex_candidates(len(names))
+        row = B.grid_search(wide, names, V.grid(grid or "full"), cands=cands).first()
+        w = [row[f"w{i + 1}"] for i in range(len(names))]
     elif blend == "exact":                                                  # B4 / B5
         row = B.exact_search(wide, names, "label").first()
         w = [row[f"w{i + 1}"] for i in range(len(names))]
-    elif blend == "fixed" and len(names) == 3:                             # B2
+    elif blend == "fixed":                                                  # B2
         w = [x / sum(B.V2_WEIGHTS) for x in B.V2_WEIGHTS]
     else:                                                                   # B1 / single member
         w = [1.0 / len(names)] * len(names)

@@ -70,12 +70,12 @@ def fit_scorer(train: DataFrame, test_codes_source: DataFrame, max_iter: int = 1
 def score_stream(spark: SparkSession, source_dir: str, schema, scorer: FittedScorer,
                  query_name: str = "scored_customers") -> DataFrame:
     """Run the streaming scorer over every file in ``source_dir`` to completion
-    and return the scored rows from the memory sink."""
+    into Parquet files of the shared folder (``availableNow``) and read them back;
+    no scored row goes through the driver."""
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
-    q = (scorer.score(stream).writeStream.format("memory").queryName(query_name).outputMode("append")
-         .option("checkpointLocation", scratch_path(spark, f"ckpt-{query_name}")).start())
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    return spark.table(query_name)
+    scored = scorer.score(stream)
+    out = scratch_path(spark, f"scored-{query_name}")
+    q = (scored.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+         .option("checkpointLocation", scratch_path(spark, f"ckpt-{query_name}")).start(out))
+    q.awaitTermination()
+    return spark.read.schema(scored.schema).parquet(out)
