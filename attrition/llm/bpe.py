@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-from attrition.llm.words import split_words, utf8
+from attrition.llm.words import give_back, split_words, utf8
 
 #: Fixed values of the tokenizer family: white space, letters and numbers below U+0180.
 _SPACE = "\t-\r \x85\xa0"
@@ -227,15 +227,23 @@ def slices(column: pa.Array, size: int = 2 << 20):
     while lo < len(column):
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
         yield lo, hi - lo
-        pa.default_memory_pool().release_unused()
+        give_back()
         lo = hi
 
 
+def forget(*kept: dict) -> None:
+    """Drop a task's tokenizer state at its end; an idle worker holds none."""
+    for one in (*kept, _loaded):
+        one.clear()
+    gc.collect()
+    give_back()
+
+
 _loaded: dict[str, WordBpe] = {}
 
 
 def load(path: str) -> WordBpe:
-    """One tokenizer a process."""
+    """One tokenizer a process while a task needs it."""
     if path not in _loaded:
         _loaded[path] = WordBpe(path)
     return _loaded[path]

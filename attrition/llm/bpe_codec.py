@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attrition.llm.bpe import WordMemo, load, slices, spread, vocabulary
+from attrition.llm.bpe import WordMemo, forget, load, slices, spread, vocabulary
 from attrition.session import ship_package
 
 MEMO_WORDS = 80_000
@@ -91,6 +91,7 @@ def encode_decode(docs: DataFrame, text: str = "text", tokenizer: str | None = N
                      pa.array(np.diff(at) // 4, pa.int64()),
                      pa.array([decoded[a:max(a, b - 1)] for a, b in zip(place[:-1], place[1:])], pa.binary()).cast(pa.string())],
                     names=[*names, "ids", "n_tokens", "decoded"])
+        forget(_codecs)
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *RESULT]))
 

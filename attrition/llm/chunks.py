@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attrition.llm.words import give_back
 from attrition.session import ship_package, write_table
 
 CHUNK_BYTES = 4 << 20
@@ -102,6 +103,7 @@ def pack(docs: DataFrame, text: str = "text", split=None, chunk_bytes: int = CHU
                     lo = hi
         for key in list(held):
             yield emit(key)
+        give_back()
 
     out = source.mapInArrow(rows, "cid long, split int, n_bytes long, payload binary")
     return write_table(out, "chunks")

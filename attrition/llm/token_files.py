@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attrition.llm.bpe import WordMemo, load, slices, spread, vocabulary
+from attrition.llm.bpe import WordMemo, forget, load, slices, spread, vocabulary
 from attrition.llm.bpe_codec import public_path
 from attrition.session import scratch_path, ship_package
 
@@ -195,6 +195,7 @@ def write_token_files(docs: DataFrame, path: str, text: str = "text", id_col: st
                         yield flush()
         if ids:
             yield flush()
+        forget(_encoders)
 
     (ordered.select("id", "text").mapInArrow(run, "part int, file int, start long, n_tokens long, doc_ids array<long>, content binary")
      .write.option("compression", "uncompressed").parquet(path))

@@ -9,6 +9,7 @@ word hashes.  Hashes are stable across processes and runs.
 
 from __future__ import annotations
 
+import ctypes
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 2 << 20
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _BYTE_MUL = 0x9E3779B97F4A7C15          # odd, so it has an inverse modulo 2**64
 _WORD_MUL = 0xD6E8FEB86659FD93
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -47,6 +49,13 @@ def powers(mul: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def _table(is_word) -> np.ndarray:
     return np.array([is_word(b) for b in range(256)], bool)
 
