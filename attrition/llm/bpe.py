@@ -220,6 +220,20 @@ class WordMemo:
         return out
 
 
+def merged(batches, text: str, size: int):
+    """Arrow batches put together until their texts take about ``size`` bytes: the
+    more documents share a vocabulary, the fewer words are encoded again."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += int(utf8(batch.column(text))[1][-1])
+        if n >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if held and sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def slices(column: pa.Array, size: int = 2 << 20):
     """``(from, number)`` of rows whose texts take about ``size`` bytes together."""
     offsets = utf8(column)[1]

@@ -35,13 +35,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attrition.llm.bpe import WordMemo, forget, load, slices, spread, vocabulary
+from attrition.llm.bpe import WordMemo, forget, load, merged, slices, spread, vocabulary
 from attrition.llm.bpe_codec import public_path
 from attrition.session import scratch_path, ship_package
 
 BLOCK = 1 << 16
 FILE_IDS = 2 << 20
-MEMO_WORDS = 80_000
+MEMO_WORDS = 200_000
+SLICE = 6 << 20
 _HEAD = struct.Struct("<4sBIQQQQ")
 
 
@@ -182,8 +183,8 @@ def write_token_files(docs: DataFrame, path: str, text: str = "text", id_col: st
             number, start, ids, names, held = number + 1, start + held, [], [], 0
             return row
 
-        for batch in batches:
-            for lo, n in slices(batch.column("text")):
+        for batch in merged(batches, "text", SLICE):
+            for lo, n in slices(batch.column("text"), SLICE):
                 piece = batch.slice(lo, n)
                 raw, at = encoder(model).documents(piece.column("text"))
                 raw = raw.tobytes()
