@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.llm.components import connected_components
-from attrition.llm.words import Words, mix64, sequence_hash, split_words, whole_hash
+from attrition.llm.words import Words, give_back, mix64, sequence_hash, split_words, whole_hash
 from attrition.session import drop_table, ship_package, write_table
 
 SHINGLE = 5
@@ -137,6 +137,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(high, pa.int64()),
                      pa.array(low, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "n_shingles", "high", "low", "keys"])
+        _tables.clear()
+        give_back()
 
     signed = write_table(source.mapInArrow(sign, "id long, n_shingles long, high long, low long, keys array<long>"), "signatures")
 
@@ -158,6 +160,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
                 part = batch.slice(lo, 500)
                 sets = shingle_sets(split_words(part.column("text"), lower=True), width)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "members"])
+        give_back()
 
     sets = write_table(source.join(wanted, "id", "left_semi").mapInArrow(sets_of, "id long, members binary"), "sets")
 
@@ -167,6 +170,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
             ok = [similar(np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64), percent)
                   for i in range(batch.num_rows)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        give_back()
 
     both = (pairs.select("a", "b").join(sets.select(F.col("id").alias("b"), F.col("members").alias("set_b")), "b")
             .join(sets.select(F.col("id").alias("a"), F.col("members").alias("set_a")), "a"))

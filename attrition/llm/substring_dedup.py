@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attrition.llm.chunks import bucket_count, cuts, expand, pack, squeeze, unpack_batch, with_answers
-from attrition.llm.words import Words, sequence_hash, split_words
+from attrition.llm.words import Words, give_back, sequence_hash, split_words
 from attrition.session import write_table
 
 WINDOW = 35
@@ -205,6 +205,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, gr
                 w = split_words(unpack_batch(payload.as_py()).column(text))
                 _, _, keys, n = _named(w, window, gram)
                 yield _ask(cid, 0, keys, None, n, buckets)
+        give_back()
 
     def ask_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,6 +214,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, gr
                 flags = _flags(answers.as_py(), 0, len(_named(w, window, gram)[2]))
                 _, keys, check, n, _ = _candidates(w, window, gram, flags)
                 yield _ask(cid, 1, keys, check, n, buckets)
+        give_back()
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,6 +239,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, gr
                 arrays += [pa.array(kept, pa.string()), pa.array(np.diff(w.first), pa.int64()), pa.array(n_removed, pa.int64()),
                            pa.array(spans, pa.list_(pa.list_(pa.int32())))]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*own_columns, *(f.name for f in RESULT)])
+        give_back()
 
     first = write_table(chunks.mapInArrow(ask_grams, _ASK).groupBy("kind", "bucket").applyInPandas(_recurring, _ANSWER), "grams")
     second = write_table(with_answers(chunks, first).select("cid", "payload", "answers").mapInArrow(ask_windows, _ASK)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19       # a byte of text takes about 40 bytes while it is hashed
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _BYTE_MUL = 0x9E3779B97F4A7C15          # odd, so it has an inverse modulo 2**64
 _WORD_MUL = 0xD6E8FEB86659FD93
@@ -50,7 +50,9 @@ def powers(mul: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def give_back() -> None:
-    """Return freed memory to the system: Python workers live on between tasks."""
+    """Drop the power tables and return freed memory to the system, at a task's
+    end: Python workers live on between tasks."""
+    _powers.clear()
     pa.default_memory_pool().release_unused()
     if _trim:
         _trim(0)
