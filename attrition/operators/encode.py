@@ -1,9 +1,9 @@
 """Category encoders and scaling.
 
 Category statistics are small per key but the number of keys is not bounded
-in general, so every lookup goes through ``lookup_join``: broadcast when the
-statistics table provably fits (``sized_broadcast``), otherwise a shuffle
-join that AQE can split when one key holds a large share of the rows.
+in general.  They are written once, so that Spark knows their bytes, and joined
+without a hint: Spark broadcasts them below its byte threshold and otherwise
+shuffles, where AQE splits a key that holds a large share of the rows.
 Fitting never collects category values on the driver.
 """
 
@@ -17,12 +17,9 @@ from pyspark.sql import functions as F
 from attrition.operators.ordered import rank_within
 from attrition.operators.stats import fit_stats
 from attrition.session import cut_lineage
-from attrition.sources.tables import sized_broadcast
 
 MISSING = "nan"           # pandas astype(str) of a missing value
 SMOOTHING = 20            # reference smoothing weight m
-LOOKUP_BROADCAST_ROWS = 2_000_000
-WINDOW_RANK_ROWS = 200_000      # distinct values ranked by a window below this proven bound
 
 
 def as_key(c: str, missing: str = MISSING):
@@ -30,8 +27,8 @@ def as_key(c: str, missing: str = MISSING):
 
 
 def lookup_join(df: DataFrame, stats: DataFrame, on: Sequence[str]) -> DataFrame:
-    """R2: left join of a per-key statistics table (size-checked broadcast)."""
-    return df.join(sized_broadcast(stats, LOOKUP_BROADCAST_ROWS), list(on), "left")
+    """R2: left join of a per-key statistics table."""
+    return df.join(stats, list(on), "left")
 
 
 def combo_key(df: DataFrame, a: str, b: str, out: str | None = None, sep: str = "_") -> DataFrame:
@@ -46,27 +43,19 @@ def fit_ordinal(fit: DataFrame, cols: Sequence[str]) -> DataFrame:
     cols = list(cols)
     stacked = fit.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), as_key(c).alias("value")) for c in cols])).alias("kv"))
-    distinct = cut_lineage(stacked.select("kv.column_name", "kv.value").distinct())   # one scan of the data
-    if distinct.limit(WINDOW_RANK_ROWS + 1).count() <= WINDOW_RANK_ROWS:
-        # proven small: a per-column window over at most WINDOW_RANK_ROWS values
-        from pyspark.sql.window import Window
-        codes = distinct.withColumn(
-            "code", (F.row_number().over(Window.partitionBy("column_name").orderBy("value")) - 1).cast("int"))
-    else:
-        codes = rank_within(distinct, ["value"], ["column_name"], out="code").withColumn("code", F.col("code").cast("int"))
+    distinct = stacked.select("kv.column_name", "kv.value").distinct()   # one scan of the data
+    codes = rank_within(distinct, ["value"], ["column_name"], out="code").withColumn("code", F.col("code").cast("int"))
     return cut_lineage(codes)   # one row per distinct value; every lookup below reads it
 
 
 def apply_ordinal(df: DataFrame, codes: DataFrame, cols: Sequence[str], suffix: str = "",
                   unseen: int | None = None) -> DataFrame:
     """Replace (or add ``<col><suffix>``) codes; an unseen value gives ``unseen`` (NULL)."""
-    # one bounded size check for the whole code table, then per-column joins
-    small = codes.limit(LOOKUP_BROADCAST_ROWS + 1).count() <= LOOKUP_BROADCAST_ROWS
     out = df
     for c in cols:
         name = c + suffix
         m = codes.where(F.col("column_name") == c).select(F.col("value").alias("_v"), F.col("code").alias("_code"))
-        out = out.withColumn("_v", as_key(c)).join(F.broadcast(m) if small else m, ["_v"], "left")
+        out = out.withColumn("_v", as_key(c)).join(m, ["_v"], "left")
         val = F.col("_code") if unseen is None else F.coalesce(F.col("_code"), F.lit(unseen))
         out = out.withColumn(name, val).drop("_v", "_code")
     return out
@@ -94,15 +83,10 @@ def _stacked(df: DataFrame, cols: Sequence[str], extra: Sequence[tuple] = (), mi
             .select("kv.column_name", "kv.k", *[n for n, _ in extra]))
 
 
-def _lookup(out: DataFrame, stats: DataFrame, c: str, on_extra: Sequence[str], value_cols: Sequence[str],
-            small: bool, missing: str | None = MISSING) -> DataFrame:
+def _lookup(out: DataFrame, stats: DataFrame, c: str, on_extra: Sequence[str], missing: str | None = MISSING) -> DataFrame:
     m = stats.where(F.col("column_name") == c).drop("column_name")
     key = as_key(c, missing) if missing is not None else F.col(c).cast("string")
-    return out.withColumn("k", key).join(F.broadcast(m) if small else m, ["k", *on_extra], "left").drop("k")
-
-
-def _is_small(stats: DataFrame) -> bool:
-    return stats.limit(LOOKUP_BROADCAST_ROWS + 1).count() <= LOOKUP_BROADCAST_ROWS
+    return out.withColumn("k", key).join(m, ["k", *on_extra], "left").drop("k")
 
 
 # ---------------------------------------------------------------- N3 frequency
@@ -115,10 +99,9 @@ def frequency_encode(df: DataFrame, fit: DataFrame, cols: Sequence[str], suffix:
               .groupBy("column_name", "k").agg(F.count(F.lit(1)).alias("_n")))
     totals = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(float(nn[("count", c)] or 1)))])
     stats = cut_lineage(counts.select("column_name", "k", (F.col("_n") / totals[F.col("column_name")]).alias("_share")))
-    small = _is_small(stats)
     out = df
     for c in cols:
-        out = _lookup(out, stats, c, [], ["_share"], small, missing=None)
+        out = _lookup(out, stats, c, [], missing=None)
         out = out.withColumn(c + suffix, F.coalesce(F.col("_share"), F.lit(default))).drop("_share")
     return out
 
@@ -149,14 +132,13 @@ def target_encode_oof(df: DataFrame, cols: Sequence[str], fold_col: str = "fold"
           .groupBy("column_name", "k", fold_col).agg(F.sum("_y").alias("_kfs"), F.count(F.lit(1)).alias("_kfn")))
     w = Window.partitionBy("column_name", "k")
     stats = cut_lineage(kf.withColumn("_ks", F.sum("_kfs").over(w)).withColumn("_kn", F.sum("_kfn").over(w)))
-    small = _is_small(stats)
     out = df.join(F.broadcast(fold_stats), fold_col, "left")  # ≤ k rows
     if prior == "full":
         g = F.lit(s_all / n_all if n_all else 0.0)
     else:
         g = F.try_divide(F.lit(s_all) - F.col("_fs"), F.lit(n_all) - F.col("_fn"))
     for c in cols:
-        out = _lookup(out, stats, c, [fold_col], ["_ks", "_kn", "_kfs", "_kfn"], small)
+        out = _lookup(out, stats, c, [fold_col])
         n = F.col("_kn") - F.col("_kfn")
         s = F.col("_ks") - F.col("_kfs")
         enc = (s + g * m) / (n + m)
@@ -177,10 +159,9 @@ def target_encode_fit_apply(train: DataFrame, test: DataFrame, cols: Sequence[st
     stats = cut_lineage(
         _stacked(train, cols, [("_y", y)]).groupBy("column_name", "k").agg(
             ((F.sum("_y") + F.lit(g * m)) / (F.count(F.lit(1)) + F.lit(m))).alias("_enc")))
-    small = _is_small(stats)
     out = test
     for c in cols:
-        out = _lookup(out, stats, c, [], ["_enc"], small)
+        out = _lookup(out, stats, c, [])
         out = out.withColumn(c + suffix, F.coalesce(F.col("_enc"), F.lit(g))).drop("_enc")
     return out
 

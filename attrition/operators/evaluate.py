@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from attrition.operators.ordered import running_sums
-from attrition.sources.tables import sized_broadcast
+from attrition.sources.tables import join_null_safe
 
 # Cut-off grids of the reference (numpy.arange(lo, hi, step)).
 GRIDS = {
@@ -195,7 +195,7 @@ def _curve_exact(df: DataFrame, p_col: str, label: str, keys: Sequence[str]) ->
         t = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
         return cum.withColumn("P", F.lit(int(t["P"] or 0))).withColumn("N", F.lit(int(t["N"] or 0)))
     totals = counts.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return cum.join(sized_broadcast(totals, 2_000_000), keys, "left")
+    return join_null_safe(cum, totals, keys)
 
 
 def best_f1_exact(df: DataFrame, p_col: str = "p", label: str = "churn", keys: Sequence[str] = ()) -> DataFrame:

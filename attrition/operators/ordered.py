@@ -3,19 +3,19 @@
 ``Window.orderBy(...)`` with no ``partitionBy`` pulls every row into one task.
 Here the order is spread over P range partitions instead:
 
-  1. ``repartitionByRange(P, group, order)`` + ``sortWithinPartitions``;
-  2. ``mapInPandas`` keeps running sums per group inside each partition
-     (Arrow batches, state carried across batches – no extra shuffle);
-  3. the result is checkpointed once (reliable, lineage cut) so the
-     partition layout the totals are taken from is the one that is joined;
-  4. totals per (partition, group) of the groups that straddle a partition
-     boundary – at most P − 1 groups, so O(P) small rows whatever the number
-     of groups – are collected, turned into exclusive offsets on the driver
-     and broadcast back; every other group's offset is 0.
+  1. ``repartitionByRange(P, group, order)``; each row keeps the number of its
+     range, and the table is written once, so that every later step (also after
+     an executor loss) sees the same ranges;
+  2. a window per (range, group) gives the running sums inside a range;
+  3. totals per (range, group) are summed over the ranges before, per group (at
+     most P rows a group), and added by a null-safe join.
+
+Everything is DataFrame work; nothing is collected.  A NULL in ``group`` is a
+group like any other; a NULL value counts as 0.
 
 Used by exact quantiles, stratified folds (K1), the exact PR-curve maximum
-(V3), tie-aware AUC (V6) and the blend search (B4).  A hot order value is no
-problem: callers aggregate equal values first (one row per distinct value).
+(V3), tie-aware AUC (V6), k-NN blocks and the blend search (B4).  A hot order
+value is no problem: callers aggregate equal values first (one row per value).
 """
 
 from __future__ import annotations
@@ -23,15 +23,12 @@ from __future__ import annotations
 from typing import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from attrition.session import cut_lineage
-from attrition.sources.tables import sized_broadcast
-
-MAX_OFFSET_ROWS = 2_000_000
+from attrition.sources.tables import join_null_safe
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:
@@ -47,69 +44,17 @@ def running_sums(df: DataFrame, order: Sequence[str], values: Sequence[str], gro
     ``order`` must be a total order inside each group (add a unique tie-breaker).
     """
     group, order, values = list(group), list(order), list(values)
-    keys = group + order
-    p = _partitions(df, num_partitions)
-    part = df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
-
-    out_fields = list(part.schema.fields) + [T.StructField("_pid", T.IntegerType(), False)] + [
-        T.StructField(f"_lc_{v}", T.DoubleType(), True) for v in values]
-    schema = T.StructType(out_fields)
-
-    def local_cumsum(it):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        carry: dict = {}
-        for pdf in it:
-            if pdf.empty:
-                continue
-            vals = pdf[values].astype("float64").fillna(0.0)
-            if group:
-                key = pd.MultiIndex.from_frame(pdf[group]) if len(group) > 1 else pd.Index(pdf[group[0]])
-                cs = vals.groupby(key.values if len(group) == 1 else key, sort=False).cumsum()
-                base = np.array([carry.get(k, np.zeros(len(values))) for k in key], dtype="float64")
-                cs = cs.to_numpy() + base.reshape(len(pdf), len(values))
-                last = pd.DataFrame(cs, columns=values).assign(_k=list(key)).groupby("_k", sort=False).last()
-                for k, row in last.iterrows():
-                    carry[k] = row.to_numpy(dtype="float64")
-            else:
-                base = carry.get(None, np.zeros(len(values)))
-                cs = vals.cumsum().to_numpy() + base
-                carry[None] = cs[-1]
-            res = pdf.copy()
-            res["_pid"] = pid
-            for j, v in enumerate(values):
-                res[f"_lc_{v}"] = cs[:, j]
-            yield res
-
-    local = cut_lineage(part.mapInPandas(local_cumsum, schema))
-
-    sums = [F.sum(F.coalesce(F.col(v).cast("double"), F.lit(0.0))).alias(v) for v in values]
-    per_part = local.groupBy("_pid", *group).agg(*sums)
-    if group:
-        # only a group that straddles a range boundary needs an offset: ≤ P−1 such
-        # groups, so the driver sees O(P) rows however many groups there are
-        from pyspark.sql.window import Window
-        per_part = (per_part.withColumn("_np", F.count(F.lit(1)).over(Window.partitionBy(*group)))
-                    .where(F.col("_np") > 1).drop("_np"))
-    totals = per_part.collect()
-    # exclusive offsets per group in partition order (partition order = global order)
-    rows = sorted(((r["_pid"], tuple(r[g] for g in group), [r[v] for v in values]) for r in totals),
-                  key=lambda x: x[0])
-    running: dict = {}
-    offs = []
-    for pid, k, vs in rows:
-        acc = running.get(k, [0.0] * len(values))
-        offs.append((pid, *k, *acc))
-        running[k] = [a + b for a, b in zip(acc, vs)]
-    off_schema = T.StructType(
-        [T.StructField("_pid", T.IntegerType(), False)]
-        + [T.StructField(g, df.schema[g].dataType, True) for g in group]
-        + [T.StructField(f"_off_{v}", T.DoubleType(), False) for v in values])
-    off_df = df.sparkSession.createDataFrame(offs, off_schema)
-    joined = local.join(sized_broadcast(off_df, MAX_OFFSET_ROWS), ["_pid", *group], "left")
-    return joined.select(
-        *df.columns,
-        *[(F.col(f"_lc_{v}") + F.coalesce(F.col(f"_off_{v}"), F.lit(0.0))).alias(f"{prefix}{v}") for v in values])
+    placed = cut_lineage(df.repartitionByRange(_partitions(df, num_partitions), *group, *order)
+                         .withColumn("_pid", F.spark_partition_id()))
+    amount = {v: F.coalesce(F.col(v).cast("double"), F.lit(0.0)) for v in values}
+    inside = Window.partitionBy("_pid", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("_pid", *group).agg(*[F.sum(amount[v]).alias(f"_t_{v}") for v in values])
+    offsets = totals.select("_pid", *group, *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0.0)).alias(f"_off_{v}")
+                                              for v in values])
+    local = placed.select("*", *[F.sum(amount[v]).over(inside).alias(f"_lc_{v}") for v in values])
+    joined = join_null_safe(local, offsets, ["_pid", *group])
+    return joined.select(*df.columns, *[(F.col(f"_lc_{v}") + F.col(f"_off_{v}")).alias(f"{prefix}{v}") for v in values])
 
 
 def rank_within(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), out: str = "_pos",
@@ -134,7 +79,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     counts = (df.select(stack.alias("kv")).select("kv.k", "kv.v").where(F.col("v").isNotNull())
               .groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")))
     cum = running_sums(counts, ["v"], ["n"], ["k"], num_partitions=num_partitions)
-    totals = {r["k"]: int(r["t"]) for r in counts.groupBy("k").agg(F.sum("n").alias("t")).collect()}
+    totals = {r["k"]: int(r["t"]) for r in cum.groupBy("k").agg(F.sum("n").alias("t")).collect()}   # one row a column
     targets = []
     for c in cols:
         n = totals.get(c, 0)
@@ -148,7 +93,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     if not targets:
         return res
     tdf = df.sparkSession.createDataFrame(targets, "k string, q double, r long, side string")
-    hit = (cum.join(F.broadcast(tdf), "k")
+    hit = (cum.join(F.broadcast(tdf), "k")          # two rows for each column and quantile asked
            .where((F.col("cum_n") - F.col("n") <= F.col("r")) & (F.col("r") < F.col("cum_n")))
            .select("k", "q", "side", "v").collect())
     got = {(r["k"], r["q"], r["side"]): r["v"] for r in hit}

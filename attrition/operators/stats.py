@@ -2,10 +2,8 @@
 
 ``fit_stats`` turns a list of requests into a single ``agg`` (partial
 aggregation map-side, one small row back to the driver).  Quantiles are exact
-with linear interpolation (pandas ``quantile``/``median``); ``approx=True``
-switches to ``percentile_approx`` for very wide value domains, and
-``ranked_quantiles`` (operators/ordered.py) gives exact values without a
-single-task merge of all distinct values.
+with linear interpolation (pandas ``quantile``/``median``), from distributed
+running counts at every size; ``approx=True`` asks for ``percentile_approx``.
 
 Fit scopes (SURVEY §1.1-13): statistics are fitted on the table itself
 (``self``), on the labelled table (``train``) or on both (``union``).
@@ -42,13 +40,10 @@ def present(df: DataFrame, wanted: Sequence[str]) -> list[str]:
     return [c for c in wanted if c in have]
 
 
-def _expr(kind: str, c: str, arg=None, approx: bool = False, accuracy: int = 100_000):
+def _expr(kind: str, c: str, arg=None, accuracy: int = 100_000):
     x = F.col(c)
-    if kind == "median":
-        return F.percentile_approx(x, 0.5, accuracy).cast("double") if approx else F.median(x).cast("double")
-    if kind == "quantile":
-        return (F.percentile_approx(x, float(arg), accuracy).cast("double") if approx
-                else F.percentile(x, F.lit(float(arg))).cast("double"))
+    if kind in ("median", "quantile"):          # only with approx=True
+        return F.percentile_approx(x, 0.5 if kind == "median" else float(arg), accuracy).cast("double")
     if kind == "mean":
         return F.avg(x)
     if kind == "std_samp":
@@ -68,49 +63,21 @@ def _expr(kind: str, c: str, arg=None, approx: bool = False, accuracy: int = 100
     raise ValueError(kind)
 
 
-QUANTILE_METHOD_CONF = "attrition.quantile.method"     # auto | exact | ranked | approx
-RANKED_ABOVE_ROWS = 10_000_000                          # auto → ranked above this many input rows
-_DECIDED: dict = {}
-
-
-def quantile_method(df: DataFrame, approx: bool = False) -> str:
-    """How quantiles are computed for ``df``.
-
-    ``exact``: Spark ``percentile`` (value→count maps merged map-side, but the
-    final merge of a global aggregate holds every distinct value in one task);
-    ``ranked``: ``ordered.exact_quantiles`` – same exact interpolated values
-    from range-partitioned running counts, no single-task merge;
-    ``approx``: ``percentile_approx``.  ``auto`` picks ``ranked`` when the input
-    has more than ``RANKED_ABOVE_ROWS`` rows – a bounded ``limit(n+1).count()``,
-    remembered per plan (optimizer size estimates are missing on checkpoints).
-    """
-    if approx:
-        return "approx"
-    m = df.sparkSession.conf.get(QUANTILE_METHOD_CONF, "auto")
-    if m != "auto":
-        return m
-    key = df.semanticHash()
-    if key not in _DECIDED:
-        big = df.limit(RANKED_ABOVE_ROWS + 1).count() > RANKED_ABOVE_ROWS
-        _DECIDED[key] = "ranked" if big else "exact"
-    return _DECIDED[key]
-
-
 def fit_stats(df: DataFrame, requests: Sequence[tuple], approx: bool = False) -> dict:
     """One aggregate for all requests; returns ``{request: value}``.
 
-    A request is ``(kind, column)`` or ``("quantile", column, q)``.  With the
-    ``ranked`` quantile method the quantiles come from one distributed
-    ranked pass for all columns instead.
+    A request is ``(kind, column)`` or ``("quantile", column, q)``.  Exact
+    quantiles come from one distributed ranked pass for all columns
+    (``ordered.exact_quantiles``): a global ``percentile`` would merge every
+    distinct value in one task.
     """
     reqs = list(dict.fromkeys(tuple(r) for r in requests))
     if not reqs:
         return {}
     out: dict = {}
-    method = quantile_method(df, approx) if any(r[0] in ("median", "quantile") for r in reqs) else "exact"
-    if method == "ranked":
+    qreqs = [] if approx else [r for r in reqs if r[0] in ("median", "quantile")]
+    if qreqs:
         from attrition.operators.ordered import exact_quantiles
-        qreqs = [r for r in reqs if r[0] in ("median", "quantile")]
         cols = list(dict.fromkeys(r[1] for r in qreqs))
         probs = sorted({0.5 if r[0] == "median" else float(r[2]) for r in qreqs})
         qs = exact_quantiles(df, cols, probs)
@@ -119,8 +86,7 @@ def fit_stats(df: DataFrame, requests: Sequence[tuple], approx: bool = False) ->
         reqs = [r for r in reqs if r not in out]
         if not reqs:
             return out
-    exprs = [_expr(r[0], r[1], r[2] if len(r) > 2 else None, method == "approx").alias(f"s{i}")
-             for i, r in enumerate(reqs)]
+    exprs = [_expr(r[0], r[1], r[2] if len(r) > 2 else None).alias(f"s{i}") for i, r in enumerate(reqs)]
     row = df.agg(*exprs).first()
     out.update({r: row[f"s{i}"] for i, r in enumerate(reqs)})
     return out

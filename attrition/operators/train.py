@@ -217,8 +217,8 @@ def random_param_maps(estimator, trials: int, seed: int = 42, max_iter_cap: int
         bins = int(rng.choice(SEARCH_SPACE["maxBins"]))
         if max_iter_cap:
             iters = min(iters, max_iter_cap)
-        maps.append({estimator.stepSize: step, estimator.maxDepth: depth, estimator.maxIter: iters,
-                     estimator.maxBins: max(bins, min_bins)})
+        drawn = {"stepSize": step, "maxDepth": depth, "maxIter": iters, "numTrees": iters, "maxBins": max(bins, min_bins)}
+        maps.append({estimator.getParam(name): value for name, value in drawn.items() if estimator.hasParam(name)})
     return maps
 
 

@@ -94,15 +94,9 @@ def prepare(spark: SparkSession, sf_dir: str, recipe: str = "full", k: int = 5,
         ftr, fte = apply_standardize(ftr, params), apply_standardize(fte, params)
     ftr = stratified_folds(ftr, k, seed)                                    # K1
     ftr = with_class_weights(ftr, scheme=weights)                           # K2/K3
-    card = fit_stats(ftr.select(*CATEGORICALS).unionByName(fte.select(*CATEGORICALS)),
-                     [("max", c) for c in CATEGORICALS])
-    cardinality = {c: int(card[("max", c)] or 0) + 1 for c in CATEGORICALS}
-    # MLlib caps maxBins at the number of training rows, so a category set can be
-    # nominal only if its arity fits the smallest training fold; wider ones stay
-    # ordered codes (what the reference's label encoding gives the trees anyway)
-    n_train = sum(int(r["n"]) for r in ftr.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect())  # ≤ k rows
-    min_fit_rows = n_train - (n_train + k - 1) // k
-    nominal = {c: n for c, n in cardinality.items() if n <= min_fit_rows}
+    names = [c for c in NOMINAL if c in feats]
+    card = fit_stats(ftr.select(*names).unionByName(fte.select(*names)), [("max", c) for c in names])
+    nominal = {c: int(card[("max", c)] or 0) + 1 for c in names}
     for c, n in nominal.items():                                            # N8
         ftr = M.with_nominal(ftr, c, n)
         fte = M.with_nominal(fte, c, n)
@@ -113,6 +107,11 @@ def prepare(spark: SparkSession, sf_dir: str, recipe: str = "full", k: int = 5,
     return Prepared(tr, te, feats, nominal)
 
 
+# Nominal in every recipe, whatever the number of rows; city keeps the ordered codes
+# that label encoding gives.  MLlib needs a bin for each value of a nominal category.
+NOMINAL = ("telecom_partner", "gender", "state")
+MAX_BINS = 32
+
 # Flows of the reference scripts: recipe, members, blend rule, cut-off grid and
 # preprocessing options (see README).
 FLOWS = {
@@ -139,9 +138,10 @@ def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb",
         timings: dict | None = None, output_dir: str | None = None, blend: str = "grid",
         grid: str | None = "full", impute: str = "median", scale: bool = False,
         target_encodings: bool = False, resample: str | None = None,
-        resample_members: tuple = ("lgb", "cat"), early_stop: bool = False) -> dict:
+        resample_members: tuple = ("lgb", "cat"), early_stop: bool = False, max_bins: int = MAX_BINS) -> dict:
     """``max_iter``: trees a member (None: the recipe's preset).  ``early_stop``: M4 on
-    the held-out fold, with resampling where that is asked for too.
+    the held-out fold, with resampling where that is asked for too.  ``max_bins``: MLlib's
+    bins a feature, at least the values of a nominal category.
     ``parallelism``: folds fitted concurrently (default k) – each fit is a
     chain of small MLlib jobs, so concurrent folds keep the executors busy.
     ``output_dir``: also write the submission (S4), the blended probabilities
@@ -152,7 +152,6 @@ def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb",
     prep = prepare(spark, sf_dir, recipe, k, seed, impute=impute, scale=scale,
                    target_encodings=target_encodings)
     t["prepare"] = time.time() - t0
-    max_bins = max([32, *prep.cardinality.values()])
     oofs, tests = [], []
     for kind in members:
         t1 = time.time()

@@ -31,8 +31,7 @@ def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # no broadcast from static size estimates: explicit broadcasts are
-        # row-count checked (sized_broadcast); AQE may still switch a join to
+        # no broadcast from static size estimates: AQE switches a join to a
         # broadcast from the measured size of a finished shuffle stage
         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")

@@ -9,7 +9,7 @@ Plan shape (what ``explain`` shows):
   lineitem --partial agg by l_orderkey--> shuffle(l_orderkey)
   orders   ------------------------------> shuffle(o_orderkey)   join (co-partitioned)
            --partial agg by o_custkey--> shuffle(o_custkey) --> join customer
-           (shuffle c_custkey only) --> broadcast nation (size-checked).
+           (shuffle c_custkey only) --> nation (broadcast by Spark from its bytes).
 Every aggregate is algebraic, so a customer holding a third of all orders is
 combined map-side and never lands whole in one task.
 """
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.functions.nullsafe import INF, sdiv
-from attrition.sources.tables import read_table, sized_broadcast
+from attrition.sources.tables import read_table
 
 # Fixed values of the synthetic mart (FIXTURES.md §2).
 CUTOFF = "2000-08-01"
@@ -67,7 +67,7 @@ def order_usage(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) -> DataF
 def customer_mart(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) -> DataFrame:
     usage = order_usage(spark, sf_dir, cutoff)
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"])
-    nation = sized_broadcast(read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"]), 100_000)
+    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
 
     k = F.col("c_custkey")
     tenure = (F.datediff(F.to_date(F.lit(cutoff)), F.to_date("first_order")) % TENURE_MODULO).cast("double")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
+from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +24,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> Dat
     return df.select(*columns) if columns else df
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The check is a bounded ``limit(max_rows + 1).count()``; above the bound the
-    frame is returned unchanged so the join falls back to a shuffle join
-    (with AQE skew handling).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where NULL equals NULL; the left side's keys are kept.
+    Spark picks the join by measured bytes (broadcast below its threshold, else a
+    shuffle that AQE splits where it is skewed)."""
+    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys])
+    return left.join(renamed, on, how).drop(*[f"__right_{k}" for k in keys])

@@ -38,11 +38,10 @@ class FittedScorer:
         """Stateless per-row scoring; works on batch and streaming frames
         (stream–static joins against the checkpointed code table)."""
         feats = recipes.simple(sweep_inf(df))
-        small = self.codes.limit(N.LOOKUP_BROADCAST_ROWS + 1).count() <= N.LOOKUP_BROADCAST_ROWS
         for c in CATEGORICALS:
             m = self.codes.where(F.col("column_name") == c).select(F.col("value").alias("_v"),
                                                                    F.col("code").alias("_code"))
-            feats = (feats.withColumn("_v", N.as_key(c)).join(F.broadcast(m) if small else m, ["_v"], "left")
+            feats = (feats.withColumn("_v", N.as_key(c)).join(m, ["_v"], "left")
                      .withColumn(c, F.col("_code")).drop("_v", "_code"))
         feats = apply_fills(feats, self.fills)
         vec = M.assemble(feats, self.features)

@@ -8,7 +8,8 @@ from attrition.operators import evaluate as V
 from attrition.operators import folds as K
 from attrition.operators import resample as RS
 from attrition.operators.clean import fill_median, iterative_impute, sweep_inf
-from attrition.operators.ordered import exact_quantiles, rank_within
+from attrition.operators.ordered import exact_quantiles, rank_within, running_sums
+from attrition.operators.stats import fit_stats
 from attrition.plans import recipes
 from attrition.plans.scores import pseudo_scores
 from attrition.sources.mart import materialized_mart, train_test
@@ -85,7 +86,7 @@ def test_knn_exact_and_smote_inside_box(spark):
     df = fill_median(sweep_inf(_train(spark).select("row_id", "churn", *cols)), exclude=["row_id", "churn"])
     pdf = df.toPandas()
     got = {}
-    for r in RS.knn(df, "row_id", cols, k=3, projections=2, window=4, seed=3).collect():
+    for r in RS.knn(df, "row_id", cols, k=3, tables=2, window=len(pdf), seed=3).collect():
         got.setdefault(r.id, []).append(r.dist)
     X = pdf[cols].to_numpy(float)
     D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
@@ -106,42 +107,71 @@ def test_recipe_widths_match_logged_runs(spark):
     assert len(recipes.v2(tr).columns) - 2 == 46          # logged width of the 3-model run
 
 
-def test_ranked_quantile_method_gives_the_same_recipe(spark):
-    tr = _train(spark)
-    exact = {r.row_id: r for r in recipes.full(tr).collect()}
-    spark.conf.set("attrition.quantile.method", "ranked")
-    try:
-        ranked = {r.row_id: r for r in recipes.full(tr).collect()}
-    finally:
-        spark.conf.set("attrition.quantile.method", "auto")
-    assert exact.keys() == ranked.keys()
-    for k, a in exact.items():
-        b = ranked[k]
-        for c in a.__fields__:
-            x, y = a[c], b[c]
-            if isinstance(x, float):
-                assert abs(x - y) <= 1e-9 * max(1.0, abs(x)), c
-            else:
-                assert x == y, c
+def test_medians_of_the_ranked_pass_equal_spark_percentile(spark):
+    tr = sweep_inf(_train(spark))
+    cols = ["age", "calls_made", "activity_score", "estimated_salary"]
+    got = fit_stats(tr, [("median", c) for c in cols] + [("quantile", c, 0.9) for c in cols])
+    for c in cols:
+        want = tr.agg(F.median(c).alias("m"), F.percentile(c, F.lit(0.9)).alias("q")).first()
+        assert abs(got[("median", c)] - want.m) <= 1e-9 * max(1.0, abs(want.m))
+        assert abs(got[("quantile", c, 0.9)] - want.q) <= 1e-9 * max(1.0, abs(want.q))
 
 
-def test_knn_many_identical_points(spark):
-    # a third of the rows share one point: certified by the tie bound, no band fallback blow-up
-    rows = [(i, 1.0, 2.0) for i in range(60)] + [(100 + i, float(i), float(i % 7)) for i in range(120)]
-    df = spark.createDataFrame(rows, "id long, a double, b double")
+def _neighbours(spark, rows, k, **kw):
+    n = len(rows[0])
+    cols = [f"x{i}" for i in range(n)]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rows)], "id long, " + ", ".join(f"{c} double" for c in cols))
     got = {}
-    for r in RS.knn(df, "id", ["a", "b"], k=3, projections=2, window=8, seed=5).collect():
-        got.setdefault(r.id, []).append(r.dist)
-    X = np.array([[a, b] for _, a, b in rows])
+    for r in RS.knn(df, "id", cols, k=k, **kw).collect():
+        got.setdefault(r.id, []).append((r.nb_rank, r.nb_id, r.dist))
+    X = np.array(rows, float)
     D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
-    for i, (rid, _, _) in enumerate(rows):
-        assert np.allclose(sorted(got[rid]), sorted(np.delete(D[i], i))[:3])
+    np.fill_diagonal(D, np.inf)
+    return {i: [d for _, _, d in sorted(v)] for i, v in got.items()}, D
+
+
+def test_knn_recall_outliers_and_equal_rows(spark):
+    rng = np.random.default_rng(4)
+    for width, least in ((8, 0.9), (46, 0.4)):
+        X = rng.standard_normal((4000, width))
+        X[:20] *= 1000                           # outliers
+        X[1000:2000] = X[999]                    # a quarter of the rows are equal
+        got, D = _neighbours(spark, X.tolist(), 5)
+        assert len(got) == len(X) and all(len(v) == 5 for v in got.values())
+        radius = np.sort(D, axis=1)[:, 4]
+        hits = np.mean([np.mean(np.array(v) <= radius[i] + 1e-9) for i, v in got.items()])
+        assert hits >= least, (width, hits)
 
 
-def test_ordinal_codes_window_and_distributed_paths_agree(spark, monkeypatch):
+def test_knn_many_identical_points(spark):
+    # a third of the rows share one point: its neighbours are its copies, at distance 0
+    rows = [(1.0, 2.0)] * 60 + [(float(i), float(i % 7)) for i in range(120)]
+    got, D = _neighbours(spark, rows, 3)
+    for i in range(len(rows)):
+        assert np.allclose(got[i], np.sort(D[i])[:3])
+
+
+def test_running_sums_with_null_groups_and_values(spark):
+    rows = [(None if i % 3 == 0 else i % 3, i, None if i % 5 == 0 else i) for i in range(200)]
+    df = spark.createDataFrame(rows, "g int, o int, v int")
+    got = {r.o: r.cum_v for r in running_sums(df, ["o"], ["v"], ["g"], num_partitions=7).collect()}
+    held = {}
+    for g, o, v in rows:
+        held[g] = held.get(g, 0) + (v or 0)
+        assert got[o] == held[g]
+    assert running_sums(df.limit(0), ["o"], ["v"], ["g"]).count() == 0
+
+
+def test_ordinal_codes_follow_the_sorted_values(spark):
     tr = _train(spark).select("row_id", "city", "state")
-    small = {(r.column_name, r.value): r.code for r in N.fit_ordinal(tr, ["city", "state"]).collect()}
-    monkeypatch.setattr(N, "WINDOW_RANK_ROWS", 0)
-    big = {(r.column_name, r.value): r.code for r in N.fit_ordinal(tr, ["city", "state"]).collect()}
-    assert small == big
-    assert sorted(v for (c, _), v in small.items() if c == "state") == list(range(sum(1 for c, _ in small if c == "state")))
+    codes = {(r.column_name, r.value): r.code for r in N.fit_ordinal(tr, ["city", "state"]).collect()}
+    for c in ("city", "state"):
+        values = sorted(v for k, v in codes if k == c)
+        assert [codes[c, v] for v in values] == list(range(len(values)))
+
+
+def test_search_maps_fit_every_tree_member(spark):
+    from attrition.operators import train as M
+    for kind in ("xgb", "lgb", "cat"):
+        maps = M.random_param_maps(M.make_member(kind), 3)
+        assert len(maps) == 3 and all(len(m) >= 3 for m in maps)
