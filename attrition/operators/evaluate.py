@@ -74,9 +74,9 @@ def f1_at(df: DataFrame, threshold: float = 0.5, p_col: str = "p", label: str =
 
 
 def classification_report(df: DataFrame, threshold: float | None = None, p_col: str = "p",
-                          label: str = "churn", pred_col: str | None = None) -> DataFrame:
+                          label: str = "churn", pred_col: str | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """V7: per class precision/recall/F1/support, accuracy, macro and weighted averages."""
-    c = confusion_cells(df, threshold, p_col, label, pred_col)
+    c = confusion_cells(df, threshold, p_col, label, pred_col, keys)
     tp, fp, fn, tn = (F.col(x).cast("double") for x in ("tp", "fp", "fn", "tn"))
 
     def z(a, b):
@@ -94,16 +94,16 @@ def classification_report(df: DataFrame, threshold: float | None = None, p_col:
         row("accuracy", F.lit(None).cast("double"), F.lit(None).cast("double"), z(tp + tn, n), n),
         row("macro avg", (p0 + p1) / 2, (r0 + r1) / 2, (f1_0 + f1_1) / 2, n),
         row("weighted avg", z(p0 * s0 + p1 * s1, n), z(r0 * s0 + r1 * s1, n), z(f1_0 * s0 + f1_1 * s1, n), n))
-    return c.select(F.explode(rows).alias("r")).select("r.*")
+    return c.select(*keys, F.explode(rows).alias("r")).select(*keys, "r.*")
 
 
 def confusion_matrix(df: DataFrame, threshold: float | None = None, p_col: str = "p", label: str = "churn",
-                     pred_col: str | None = None) -> DataFrame:
+                     pred_col: str | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """V8: the four cells as (actual, predicted, n), zeros included."""
-    c = confusion_cells(df, threshold, p_col, label, pred_col)
+    c = confusion_cells(df, threshold, p_col, label, pred_col, keys)
     cells = F.array(*[F.struct(F.lit(a).alias("actual"), F.lit(b).alias("predicted"), F.col(n).alias("n"))
                       for a, b, n in ((0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp"))])
-    return c.select(F.explode(cells).alias("r")).select("r.*")
+    return c.select(*keys, F.explode(cells).alias("r")).select(*keys, "r.*")
 
 
 # ---------------------------------------------------------------- V2 / V4 / V9 / V10 / V11 grids

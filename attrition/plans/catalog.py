@@ -244,8 +244,7 @@ def q_c2(spark, sf_dir):
 @query("c3_winsorize")
 def q_c3(spark, sf_dir):
     train, test = _pair(spark, sf_dir)
-    cols = ["estimated_salary", "calls_made", "sms_sent", "data_used", "activity_score", "calls_per_day"]
-    return C.winsorize(C.sweep_inf(test), C.sweep_inf(train), cols)
+    return C.winsorize(C.sweep_inf(test), C.sweep_inf(train))
 
 
 @query("c4_clip_lower")
@@ -342,12 +341,12 @@ def q_r3(spark, sf_dir):
 
 @query("r4_fold_writeback")
 def q_r4(spark, sf_dir):
-    sc = _scores(spark, sf_dir).where(F.col("model") == "gbt")
+    sc = _scores(spark, sf_dir)
     parts = [sc.where(F.col("fold") == f).withColumn("oof", F.col("p")) for f in range(5)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select("row_id", "fold", "label", "oof")
+    return out.select("model", "row_id", "fold", "label", "oof")
 
 
 @query("r5_column_bind")
@@ -437,7 +436,8 @@ def q_n7(spark, sf_dir):
 @query("n9_standardize")
 def q_n9(spark, sf_dir):
     train, test = _pair(spark, sf_dir)
-    cols = ["age", "num_dependents", "calls_made", "sms_sent", "customer_tenure_days", "activity_score"]
+    cols = C.numeric_columns(test, ["row_id"])
+    train, test = C.sweep_inf(train), C.sweep_inf(test)
     params = N.fit_standardize(train, cols)
     return N.apply_standardize(test.select("row_id", *cols), params)
 
@@ -512,12 +512,12 @@ def q_v6f(spark, sf_dir):
 
 @query("v7_classification_report")
 def q_v7(spark, sf_dir):
-    return V.classification_report(_scores(spark, sf_dir).where(F.col("model") == "linear"), 0.45, "p", "label")
+    return V.classification_report(_scores(spark, sf_dir), 0.45, "p", "label", keys=["model"])
 
 
 @query("v8_confusion_matrix")
 def q_v8(spark, sf_dir):
-    return V.confusion_matrix(_scores(spark, sf_dir).where(F.col("model") == "gbt"), 0.45, "p", "label")
+    return V.confusion_matrix(_scores(spark, sf_dir), 0.45, "p", "label", keys=["model"])
 
 
 @query("v9_precision_recall_plus_one")
@@ -527,7 +527,7 @@ def q_v9(spark, sf_dir):
 
 @query("v10_threshold_curve")
 def q_v10(spark, sf_dir):
-    return V.grid_curve(_scores(spark, sf_dir).where(F.col("model") == "linear"), V.grid("light"), "p", "label")
+    return V.grid_curve(_scores(spark, sf_dir), V.grid("light"), "p", "label", keys=["model"])
 
 
 @query("v11_trial_best_highest")
