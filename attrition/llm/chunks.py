@@ -122,7 +122,8 @@ def cuts(sorted_keys: np.ndarray, n: int) -> np.ndarray:
 
 def with_answers(chunks: DataFrame, answers: DataFrame) -> DataFrame:
     """Chunks with ``answers``: an array of a chunk's answer rows, by (kind, bucket).
-    What is gathered for a chunk is bounded by the chunk."""
+    What is gathered for a chunk is bounded by the chunk.  Answers grow with the
+    input, so they are never broadcast: the join shuffles at every size."""
     cols = [c for c in answers.columns if c != "cid"]
     own = answers.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("answers"))
-    return chunks.join(own, "cid", "left")
+    return chunks.join(own.hint("merge"), "cid", "left")
