@@ -175,3 +175,20 @@ def test_search_maps_fit_every_tree_member(spark):
     for kind in ("xgb", "lgb", "cat"):
         maps = M.random_param_maps(M.make_member(kind), 3)
         assert len(maps) == 3 and all(len(m) >= 3 for m in maps)
+
+
+def test_knn_is_exact_at_several_sizes_and_widths(spark):
+    rng = np.random.default_rng(5)
+    for n, width in ((3000, 8), (3000, 46), (9000, 46)):
+        X = rng.standard_normal((n, width))
+        X[:20] *= 1000                           # outliers
+        X[1000:1400] = X[999]                    # equal rows
+        cols = [f"x{i}" for i in range(width)]
+        df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(X)], "id long, " + ", ".join(f"{c} double" for c in cols))
+        got = RS.knn(df, "id", cols, k=5).toPandas().sort_values(["id", "nb_rank"])
+        assert len(got) == 5 * n and not got.duplicated(["id", "nb_id"]).any() and (got["id"] != got["nb_id"]).all()
+        dist = got["dist"].to_numpy().reshape(n, 5)
+        for i in range(0, n, 37):
+            want = np.sqrt(((X - X[i]) ** 2).sum(-1))
+            want[i] = np.inf
+            assert np.allclose(dist[i], np.sort(want)[:5]), (n, width, i)
