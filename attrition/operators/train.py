@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.operators import evaluate as V
+from attrition.session import cut_lineage, drop_table, write_table
 
 # Reference presets as (max depth, learning rate, trees) and
 # early-stopping rounds per recipe.
@@ -235,32 +236,46 @@ def random_search(df: DataFrame, estimator, trials: int = 40, k_fold_col: str =
 
 
 # ---------------------------------------------------------------- M5 early stop on F1
+PREFIX_TREES = 25       # trees scored in one job
+
+
 def best_prefix_by_f1(model, val: DataFrame, g: Sequence[float] | None = None, id_col: str = "row_id",
                       label: str = "label") -> DataFrame:
     """M5: F1-driven early stopping for a fitted GBT.
 
-    The margin of the first k trees is Σ_{i<k} w_i·tree_i(x); every prefix is
-    scored in one job: per-tree outputs are exploded with their position,
-    a running sum per row (rows pre-partitioned by id, so the window adds no
-    shuffle) gives the prefix margins, p = 1/(1+exp(−2·margin)), and the grid
-    F1 of every prefix comes from one grouped aggregate.  Returns
-    ``(n_trees, best_threshold, best_f1)`` rows sorted by F1, fewest trees first.
+    The margin of the first k trees is Σ_{i<k} w_i·tree_i(x).  Trees are taken in
+    blocks of ``PREFIX_TREES``: a block's table holds each row's margins after each
+    of its trees, p = 1/(1+exp(−2·margin)), and the grid F1 of the block's prefixes
+    comes from one grouped aggregate.  A block starts from the last margin of the
+    one before, whose table then goes.  Returns ``(n_trees, best_threshold,
+    best_f1)`` rows sorted by F1, fewest trees first.
     """
-    from pyspark.sql.window import Window
     g = list(g or V.grid("trial"))
-    trees, weights = model.trees, model.treeWeights
-    cur = val.repartition(id_col)
-    cols = []
-    for i, (t, w) in enumerate(zip(trees, weights)):
-        tm = t.copy()
-        tm.set(tm.getParam("predictionCol"), f"_t{i}")
-        tm.set(tm.getParam("featuresCol"), model.getFeaturesCol())
-        cur = tm.transform(cur)
-        cols.append(F.col(f"_t{i}") * F.lit(float(w)))
-    exploded = cur.select(id_col, F.col(label).cast("int").alias("label"),
-                          F.posexplode(F.array(*cols)).alias("k", "contrib"))
-    w_ = Window.partitionBy(id_col).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    pref = exploded.select("label", (F.col("k") + 1).alias("n_trees"),
-                           (1.0 / (1.0 + F.exp(-2.0 * F.sum("contrib").over(w_)))).alias("p"))
-    best = V.best_threshold(pref, g, "p", "label", keys=["n_trees"], tie="lowest")
-    return best.select("n_trees", "best_threshold", "best_f1").orderBy(F.col("best_f1").desc(), "n_trees")
+    features = model.getFeaturesCol()
+    cur = val.select(id_col, F.col(label).cast("int").alias("label"), features, F.lit(0.0).alias("margin"))
+    found, before = [], None
+    pairs = list(zip(model.trees, model.treeWeights))
+    for lo in range(0, len(pairs), PREFIX_TREES):
+        for i, (t, _) in enumerate(pairs[lo:lo + PREFIX_TREES]):
+            tm = t.copy()
+            tm.set(tm.getParam("predictionCol"), f"_t{i}")
+            tm.set(tm.getParam("featuresCol"), features)
+            cur = tm.transform(cur)
+        acc, margins = F.col("margin"), []
+        for i, (_, w) in enumerate(pairs[lo:lo + PREFIX_TREES]):
+            acc = acc + F.col(f"_t{i}") * F.lit(float(w))
+            margins.append(acc)
+        block = write_table(cur.select(id_col, "label", features, F.array(*margins).alias("margins")), "prefix")
+        pref = (block.select("label", F.posexplode("margins").alias("k", "margin"))
+                .select("label", (F.col("k") + lo + 1).alias("n_trees"), (1.0 / (1.0 + F.exp(-2.0 * F.col("margin")))).alias("p")))
+        found.append(cut_lineage(V.best_threshold(pref, g, "p", "label", keys=["n_trees"], tie="lowest")
+                                 .select("n_trees", "best_threshold", "best_f1")))
+        if before is not None:
+            drop_table(before)
+        before = block
+        cur = block.select(id_col, "label", features, F.element_at("margins", -1).alias("margin"))
+    best = found[0]
+    for x in found[1:]:
+        best = best.unionByName(x)
+    drop_table(before)
+    return best.orderBy(F.col("best_f1").desc(), "n_trees")

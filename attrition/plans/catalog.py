@@ -572,7 +572,6 @@ from attrition.operators import train as M  # noqa: E402
 from attrition.plans import oof as OOF  # noqa: E402
 
 _PREPARED: dict = {}
-SMALL_ITER = 5          # trees per member in registered queries (presets keep the reference counts)
 
 
 def _prepared(spark, sf_dir):
@@ -586,7 +585,7 @@ def _member_oof(kind):
     def fn(spark, sf_dir):
         prep = _prepared(spark, sf_dir)
         bins = max([32, *prep.cardinality.values()])
-        oof, _ = M.oof_fit(prep.train, M.make_member(kind, "full", 42, "weight", SMALL_ITER, bins), 5)
+        oof, _ = M.oof_fit(prep.train, M.make_member(kind, "full", 42, "weight", None, bins), 5, parallelism=5)
         return oof.withColumn("model", F.lit(kind))
     return fn
 
@@ -601,9 +600,9 @@ QUERIES["m3_linear_oof"] = _member_oof("linear")
 def q_m4(spark, sf_dir):
     prep = _prepared(spark, sf_dir)
     bins = max([32, *prep.cardinality.values()])
-    est = M.make_member("xgb", "full", 42, "weight", 30, bins)
-    _, models = M.oof_fit(prep.train, est, 5, early_stop=True)
-    rows = [(f, 30, len(m.trees)) for f, m in enumerate(models)]
+    est = M.make_member("xgb", "full", 42, "weight", None, bins)
+    _, models = M.oof_fit(prep.train, est, 5, parallelism=5, early_stop=True)
+    rows = [(f, est.getMaxIter(), len(m.trees)) for f, m in enumerate(models)]
     return spark.createDataFrame(rows, "fold int, max_trees int, trees_kept int")
 
 
@@ -611,7 +610,7 @@ def q_m4(spark, sf_dir):
 def q_m5(spark, sf_dir):
     prep = _prepared(spark, sf_dir)
     bins = max([32, *prep.cardinality.values()])
-    model = M.make_member("xgb", "full", 42, "weight", 12, bins).fit(prep.train.where(F.col("fold") != 0))
+    model = M.make_member("xgb", "full", 42, "weight", None, bins).fit(prep.train.where(F.col("fold") != 0))
     return M.best_prefix_by_f1(model, prep.train.where(F.col("fold") == 0))
 
 
@@ -623,7 +622,7 @@ def q_m6(spark, sf_dir):
 def _fold_models(spark, sf_dir, kind="xgb"):
     prep = _prepared(spark, sf_dir)
     bins = max([32, *prep.cardinality.values()])
-    return prep, M.oof_fit(prep.train, M.make_member(kind, "full", 42, "weight", SMALL_ITER, bins), 5)
+    return prep, M.oof_fit(prep.train, M.make_member(kind, "full", 42, "weight", None, bins), 5, parallelism=5)
 
 
 @query("m7_test_fold_mean")
@@ -636,7 +635,7 @@ def q_m7(spark, sf_dir):
 def q_m8(spark, sf_dir):
     prep = _prepared(spark, sf_dir)
     bins = max([32, *prep.cardinality.values()])
-    model = M.make_member("xgb", "full", 42, "weight", SMALL_ITER, bins).fit(prep.train)
+    model = M.make_member("xgb", "full", 42, "weight", None, bins).fit(prep.train)
     return model.transform(prep.test).select("row_id", M.p1().alias("p"))
 
 
@@ -652,8 +651,8 @@ def q_m10(spark, sf_dir):
     bins = max([32, *prep.cardinality.values()])
     data = K.stratified_folds(prep.train.drop("fold").withColumnRenamed("label", "churn"), 3, 42) \
         .withColumnRenamed("churn", "label")
-    est = M.make_member("cat", "full", 42, "weight", SMALL_ITER, bins)
-    cv, maps = M.random_search(data, est, trials=3, max_iter_cap=SMALL_ITER, min_bins=bins, parallelism=2)
+    est = M.make_member("cat", "full", 42, "weight", None, bins)
+    cv, maps = M.random_search(data, est, min_bins=bins, parallelism=2)
     rows = [(i, float(m[est.stepSize]), int(m[est.maxDepth]), int(m[est.maxIter]), int(m[est.maxBins]), float(s))
             for i, (m, s) in enumerate(zip(maps, cv.avgMetrics))]
     return spark.createDataFrame(rows, "trial int, step_size double, max_depth int, max_iter int, max_bins int, "
@@ -712,13 +711,13 @@ def q_c9(spark, sf_dir):
     num = [c for c in C.numeric_columns(tr, ["row_id", "churn"]) if c in te.columns]
     tr = C.winsorize(tr, tr, num)
     te = C.winsorize(te, tr, num)
-    out, _, _ = C.iterative_impute(tr, te, num, max_iter=3)
+    out, _, _ = C.iterative_impute(tr, te, num)
     return out
 
 
 @query("pipeline_oof_submission")
 def q_pipeline(spark, sf_dir):
-    return OOF.run(spark, sf_dir, max_iter=SMALL_ITER)["submission"]
+    return OOF.run(spark, sf_dir)["submission"]
 
 
 @query("streaming_score_new_customers")
@@ -727,7 +726,7 @@ def q_stream(spark, sf_dir):
     train, test = _pair(spark, sf_dir)
     src = scratch_path(spark, "arrivals")
     test.repartition(4).write.parquet(src)           # new customers arriving as files
-    scorer = fit_scorer(train, test, max_iter=SMALL_ITER)
+    scorer = fit_scorer(train, test)
     name = "scored_" + src.rsplit("-", 1)[-1]
     return score_stream(spark, src, test.schema, scorer, name)
 

@@ -50,7 +50,7 @@ class FittedScorer:
                           F.coalesce((M.p1() >= F.lit(self.threshold)).cast("int"), F.lit(0)).alias("churn"))
 
 
-def fit_scorer(train: DataFrame, test_codes_source: DataFrame, max_iter: int = 10, threshold: float = 0.5,
+def fit_scorer(train: DataFrame, test_codes_source: DataFrame, max_iter: int | None = None, threshold: float = 0.5,
                seed: int = 42) -> FittedScorer:
     """Fit the ``simple`` recipe pipeline on ``train`` (codes on train ∪ known test values)."""
     feats = recipes.simple(sweep_inf(train))
@@ -62,7 +62,7 @@ def fit_scorer(train: DataFrame, test_codes_source: DataFrame, max_iter: int = 1
     fills = {c: st[("median", c)] for c in features}
     enc = apply_fills(enc, fills)
     vec = M.assemble(enc.withColumn("label", F.col("churn").cast("double")), features)
-    model = M.make_member("xgb", "simple", seed, None, max_iter).fit(vec)
+    model = M.make_member("cat", "simple", seed, None, max_iter).fit(vec)
     return FittedScorer(codes, fills, features, model, threshold)
 
 

@@ -69,3 +69,46 @@ def test_resample_training_balances_and_keeps_nominal(spark):
     assert {r.weight for r in out.select("weight").distinct().collect()} == {1.0}
     attrs = out.schema["features"].metadata["ml_attr"]["attrs"]
     assert len(attrs.get("nominal", [])) == len(prep.cardinality)
+
+
+def test_registered_queries_use_the_presets(spark, monkeypatch):
+    import pytest
+    from attrition.plans import catalog as Q
+    from attrition.streaming import scoring
+
+    class Asked(Exception):
+        pass
+
+    def stop(*a, **kw):
+        raise Asked(a, kw)
+
+    def asked(name):
+        with pytest.raises(Asked) as e:
+            Q.QUERIES[name](spark, SF_SMALL)
+        return e.value.args
+
+    monkeypatch.setattr(M, "oof_fit", stop)
+    trees = {"m1_gbt_oof": 700, "m2_forest_oof": 700, "m3_nominal_gbt_oof": 600, "m4_early_stopping": 700, "m7_test_fold_mean": 700}
+    for name, n in trees.items():
+        est = asked(name)[0][1]
+        assert est.getOrDefault("numTrees" if est.hasParam("numTrees") else "maxIter") == n, name
+    monkeypatch.setattr(M, "random_search", stop)
+    args, kw = asked("m10_random_search")
+    assert args[1].getMaxIter() == 600 and not {"trials", "max_iter_cap"} & set(kw)
+    monkeypatch.setattr(Q.OOF, "run", stop)
+    assert "max_iter" not in asked("pipeline_oof_submission")[1]
+    monkeypatch.setattr(Q.C, "iterative_impute", stop)
+    assert "max_iter" not in asked("c9_iterative_impute")[1]
+    monkeypatch.setattr(scoring, "fit_scorer", stop)
+    assert "max_iter" not in asked("streaming_score_new_customers")[1]
+
+
+def test_f1_prefix_over_several_blocks(spark, monkeypatch):
+    data = _planted(spark)
+    model = M.make_member("xgb", "full", 7, None, 5).fit(data.where("fold != 0"))
+    val = data.where("fold = 0")
+    monkeypatch.setattr(M, "PREFIX_TREES", 2)
+    got = {r.n_trees: (r.best_threshold, r.best_f1) for r in M.best_prefix_by_f1(model, val).collect()}
+    whole = model.transform(val).select(F.col("label").cast("int").alias("label"), M.p1().alias("p"))
+    want = V.best_threshold(whole, V.grid("trial"), "p", "label", tie="lowest").first()
+    assert sorted(got) == [1, 2, 3, 4, 5] and abs(got[5][1] - want.best_f1) < 1e-12
