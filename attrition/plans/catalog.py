@@ -85,6 +85,24 @@ def _pair(spark, sf_dir):
     return train_test(customer_mart(spark, sf_dir))
 
 
+def _flagged(train, test):
+    """Both tables in one, told apart by ``is_train``; a column of one only is NULL in the other."""
+    return train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)), allowMissingColumns=True)
+
+
+def _recipe_tables(name):
+    def fn(spark, sf_dir):
+        train, test = _pair(spark, sf_dir)
+        return _flagged(recipes.RECIPES[name](train), recipes.RECIPES[name](test))
+    fn.__name__ = f"q_recipe_{name}_tables"
+    return fn
+
+
+# the labelled table alone is what the oracles' SQL has; these also build the unlabelled one
+for _r in ("simple", "fast", "wide", "v2", "full", "f1", "light", "raw"):
+    QUERIES[f"recipe_{_r}_tables"] = _recipe_tables(_r)
+
+
 _SCORES: dict = {}
 
 
@@ -301,6 +319,13 @@ def q_c13(spark, sf_dir):
     return tr
 
 
+@query("c13_common_columns_tables")
+def q_c13_tables(spark, sf_dir):
+    train, test = _pair(spark, sf_dir)
+    return _flagged(*C.common_columns(recipes.full(train).drop(*CATS, "row_id"), recipes.full(test).drop(*CATS, "row_id"),
+                                      cast_float=True))
+
+
 @query("c14_split_back")
 def q_c14(spark, sf_dir):
     _, test = C.split_train_test(recipes.union(customer_mart(spark, sf_dir)))
@@ -389,6 +414,17 @@ def q_n2(spark, sf_dir):
     return te
 
 
+def _ordinal_tables(scope, suffix=""):
+    def fn(spark, sf_dir):
+        train, test = _pair(spark, sf_dir)
+        return _flagged(*N.ordinal_encode(train.select("row_id", *CATS), test.select("row_id", *CATS), CATS, scope, suffix))
+    return fn
+
+
+QUERIES["n1_ordinal_union_tables"] = _ordinal_tables("union", "_le")
+QUERIES["n2_ordinal_self_tables"] = _ordinal_tables("self")
+
+
 @query("n3_frequency")
 def q_n3(spark, sf_dir):
     train, test = _pair(spark, sf_dir)
@@ -433,6 +469,14 @@ def q_n7(spark, sf_dir):
                           ["telecom_partner", "gender"])
 
 
+@query("n7_one_hot_tables")
+def q_n7_tables(spark, sf_dir):
+    """All string columns of both tables as sparse vectors over the values of train ∪ test."""
+    train, test = _pair(spark, sf_dir)
+    both = _flagged(train.select("row_id", *CATS), test.select("row_id", *CATS))
+    return N.one_hot_vector(both, CATS).transform(both).drop(*CATS, *[f"{c}_idx" for c in CATS])
+
+
 @query("n9_standardize")
 def q_n9(spark, sf_dir):
     train, test = _pair(spark, sf_dir)
@@ -585,7 +629,7 @@ def _member_oof(kind):
     def fn(spark, sf_dir):
         prep = _prepared(spark, sf_dir)
         bins = max([32, *prep.cardinality.values()])
-        oof, _ = M.oof_fit(prep.train, M.make_member(kind, "full", 42, "weight", None, bins), 5, parallelism=5)
+        oof, _ = M.oof_fit(prep.train, M.make_member(kind, "full", 42, "weight", None, bins), 5)
         return oof.withColumn("model", F.lit(kind))
     return fn
 
@@ -601,7 +645,7 @@ def q_m4(spark, sf_dir):
     prep = _prepared(spark, sf_dir)
     bins = max([32, *prep.cardinality.values()])
     est = M.make_member("xgb", "full", 42, "weight", None, bins)
-    _, models = M.oof_fit(prep.train, est, 5, parallelism=5, early_stop=True)
+    _, models = M.oof_fit(prep.train, est, 5, early_stop=True)
     rows = [(f, est.getMaxIter(), len(m.trees)) for f, m in enumerate(models)]
     return spark.createDataFrame(rows, "fold int, max_trees int, trees_kept int")
 
@@ -610,8 +654,12 @@ def q_m4(spark, sf_dir):
 def q_m5(spark, sf_dir):
     prep = _prepared(spark, sf_dir)
     bins = max([32, *prep.cardinality.values()])
-    model = M.make_member("xgb", "full", 42, "weight", None, bins).fit(prep.train.where(F.col("fold") != 0))
-    return M.best_prefix_by_f1(model, prep.train.where(F.col("fold") == 0))
+    _, models = M.oof_fit(prep.train, M.make_member("xgb", "full", 42, "weight", None, bins), 5)
+    parts = [M.best_prefix_by_f1(m, prep.train.where(F.col("fold") == f)).withColumn("fold", F.lit(f)) for f, m in enumerate(models)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("fold", "n_trees", "best_threshold", "best_f1")
 
 
 @query("m6_oof_score_table")
@@ -622,7 +670,7 @@ def q_m6(spark, sf_dir):
 def _fold_models(spark, sf_dir, kind="xgb"):
     prep = _prepared(spark, sf_dir)
     bins = max([32, *prep.cardinality.values()])
-    return prep, M.oof_fit(prep.train, M.make_member(kind, "full", 42, "weight", None, bins), 5, parallelism=5)
+    return prep, M.oof_fit(prep.train, M.make_member(kind, "full", 42, "weight", None, bins), 5)
 
 
 @query("m7_test_fold_mean")
@@ -711,8 +759,8 @@ def q_c9(spark, sf_dir):
     num = [c for c in C.numeric_columns(tr, ["row_id", "churn"]) if c in te.columns]
     tr = C.winsorize(tr, tr, num)
     te = C.winsorize(te, tr, num)
-    out, _, _ = C.iterative_impute(tr, te, num)
-    return out
+    tr, te, _ = C.iterative_impute(tr, te, num)
+    return _flagged(tr, te)
 
 
 @query("pipeline_oof_submission")

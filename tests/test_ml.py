@@ -112,3 +112,22 @@ def test_f1_prefix_over_several_blocks(spark, monkeypatch):
     whole = model.transform(val).select(F.col("label").cast("int").alias("label"), M.p1().alias("p"))
     want = V.best_threshold(whole, V.grid("trial"), "p", "label", tie="lowest").first()
     assert sorted(got) == [1, 2, 3, 4, 5] and abs(got[5][1] - want.best_f1) < 1e-12
+
+
+def test_queries_cover_both_tables_and_every_fold(spark, monkeypatch):
+    from attrition.plans import catalog as Q
+    train, test = train_test(materialized_mart(spark, SF_SMALL))
+    want = {True: train.count(), False: test.count()}
+    for name in ("c13_common_columns_tables", "n1_ordinal_union_tables", "n2_ordinal_self_tables",
+                 "n7_one_hot_tables", "recipe_simple_tables", "recipe_f1_tables"):
+        got = Q.QUERIES[name](spark, SF_SMALL)
+        assert {r.is_train: r["count"] for r in got.groupBy("is_train").count().collect()} == want, name
+    hot = Q.QUERIES["n7_one_hot_tables"](spark, SF_SMALL)
+    assert {f"{c}_ohe" for c in Q.CATS} <= set(hot.columns)
+    first = hot.first()
+    assert all(sum(first[f"{c}_ohe"].toArray()) == 1 for c in Q.CATS)
+    monkeypatch.setattr(Q.C, "iterative_impute", lambda tr, te, num: (tr, te, None))      # only to keep the test short
+    assert Q.QUERIES["c9_iterative_impute"](spark, SF_SMALL).groupBy("is_train").count().count() == 2
+    monkeypatch.setitem(M.PRESETS["full"], "xgb", (3, 0.05, 2))      # only to keep the test short
+    got = Q.QUERIES["m5_f1_early_stopping"](spark, SF_SMALL).collect()
+    assert sorted((r.fold, r.n_trees) for r in got) == [(f, n) for f in range(5) for n in (1, 2)]
