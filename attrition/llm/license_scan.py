@@ -1,11 +1,13 @@
 """Licence scans with a positional rare-token index.
 
 Templates are short licence statements.  Their words get an inverse document
-frequency from all scanned documents; the index posts, for the ``rare`` highest-IDF
-words of each template, the word's positions in the template.  A file looks up
-its places of these words; each place votes for the template start it implies
-(file position minus template position).  Where postings of one template agree on
-a start, all template words are compared at their relative positions; a start is
+frequency from all scanned documents; the index posts the positions of each
+template's highest-IDF words: at least ``rare`` words, and two positions more than
+the words that ``coverage`` lets differ.  A file looks up its places of these words;
+each place votes for the template start it implies (file position minus template
+position).  A start needs as many votes as postings must stand in place at the
+coverage (postings minus words that may differ, two or more), so that none at the
+coverage is lost.  There all template words are compared at their relative positions; a start is
 accepted where at least ``coverage`` of them stand in place and every mandatory
 key phrase of the template stands word for word within the aligned text.
 
@@ -19,6 +21,7 @@ input columns named like result columns are replaced.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,13 +94,20 @@ class LicenceIndex:
         self.base = [(label, _hashes(phrase)) for phrase, label in BASE.items()]
         self.templates: list[tuple[str, np.ndarray, list[np.ndarray]]] = []
         self.postings: dict[int, list[tuple[int, int]]] = {}
+        self.needed: list[int] = []          # votes that a start of each template needs
         for label, listed in TEMPLATES.items():
             for text, keys in listed:
                 words = text.split()
                 number = len(self.templates)
                 self.templates.append((label, _hashes(text), [_hashes(k) for k in keys]))
                 idf = {w: math.log((n_docs + 1) / (frequency.get(w, 0) + 1)) for w in words}
-                chosen = set(sorted(idf, key=lambda w: (-idf[w], w))[:rare])
+                differ = len(words) - math.ceil(coverage * len(words))
+                chosen: set[str] = set()
+                for w in sorted(idf, key=lambda w: (-idf[w], w)):
+                    if len(chosen) >= rare and sum(x in chosen for x in words) >= differ + 2:
+                        break
+                    chosen.add(w)
+                self.needed.append(max(1, sum(x in chosen for x in words) - differ))
                 for place, (w, h) in enumerate(zip(words, self.templates[-1][1].tolist())):
                     if w in chosen:
                         self.postings.setdefault(h, []).append((number, place))
@@ -117,9 +127,11 @@ class LicenceIndex:
                 base[d].add(label)
         at = np.minimum(np.searchsorted(self.indexed, w.hash), len(self.indexed) - 1)
         hit = np.flatnonzero(self.indexed[at] == w.hash)
-        votes = {(number, i - place) for i, h in zip(hit.tolist(), w.hash[hit].tolist()) for number, place in self.postings[h]}
+        votes = Counter((number, i - place) for i, h in zip(hit.tolist(), w.hash[hit].tolist()) for number, place in self.postings[h])
         first = w.first
-        for number, start in votes:
+        for (number, start), n in votes.items():
+            if n < self.needed[number]:
+                continue
             label, words, keys = self.templates[number]
             # the text that the votes come from: the one that holds the template's middle
             middle = start + len(words) // 2

@@ -1,5 +1,6 @@
 """The training-data operators against brute force, on small fixtures with edge rows."""
 
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -17,7 +18,8 @@ from attrition.llm.components import connected_components
 from attrition.llm.decontamination import contamination
 from attrition.llm.embedding_dedup import near_vectors, plan
 from attrition.llm.language_id import Profiles, grams, identify, learn_profiles
-from attrition.llm.license_scan import document_frequency, scan_licences
+from attrition.llm.license_scan import TEMPLATES as LICENCES
+from attrition.llm.license_scan import LicenceIndex, document_frequency, scan_licences
 from attrition.llm.lm_scoring import learn_weights, score_documents
 from attrition.llm.minhash_dedup import near_duplicates, signature, similar
 from attrition.llm.substring_dedup import remove_repeats
@@ -376,3 +378,24 @@ def test_empty_tables(spark, empty):
     weights, bias, _ = train(empty, spark.createDataFrame([], "doc_id long, toxic int"), F.lit(True), bits=8)
     assert score_toxicity(empty, weights, bias).count() == 0
     assert fit_nnpu([np.array([1])], [np.array([2])], 0.5, 4)[0].shape == (4,)
+
+
+def test_licence_starts_need_agreeing_votes_and_none_is_lost():
+    for label, listed in LICENCES.items():
+        for text, keys in listed:
+            words = text.split()
+            index = LicenceIndex({}, 1)
+            number = [x[0] for x in index.templates].index(label) + [t for t, _ in listed].index(text)
+            assert index.needed[number] >= 2
+            differ = len(words) - math.ceil(0.75 * len(words))
+            fixed = {w for k in keys for w in k.split()}
+            free = [i for i, w in enumerate(words) if w not in fixed]
+            for lo in range(max(1, len(free) - differ + 1)):
+                altered = [f"zz{i}" if i in free[lo:lo + differ] else w for i, w in enumerate(words)]
+                found = index.scan(split_words(pa.array(["head " + " ".join(altered) + " tail"]), lower=True, alnum=True))[2][0]
+                assert label in found, (label, altered)
+    # the three words that alone were posted for a statement of 20 words
+    words = LICENCES["mit"][1][0].split()
+    index = LicenceIndex({w: 1 for w in words if w not in ("any", "person", "obtaining")}, 1)
+    text = " ".join("zz" if w in ("any", "person", "obtaining") else w for w in words)
+    assert index.scan(split_words(pa.array([text]), lower=True, alnum=True))[2][0]["mit"] == 1 - 3 / len(words)
