@@ -58,3 +58,14 @@ def test_queries_read_whole_tables(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     for name in ("op7_license_scan", "op8_language_id"):
         assert QUERIES[name](spark, SF).agg(F.count("*")).first()[0] == n
+
+
+def test_near_dedup_keeps_a_clean_text_of_a_repeated_id(spark):
+    import corpus_pipeline
+    base = " ".join(f"a{i}" for i in range(80))
+    near, other, lone = base.replace("a40", "zz"), " ".join(f"b{i}" for i in range(80)), " ".join(f"c{i}" for i in range(80))
+    rows = [(1, base), (5, near), (5, other), (5, other), (None, lone), (None, lone.replace("c40", "zz")), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+    assert len(got) == 4 and {(1, base), (5, other), (7, None)} < set(got)
+    assert [i for i, _ in got].count(None) == 1
