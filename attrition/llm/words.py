@@ -140,6 +140,22 @@ def _block(data, offsets, table, keys):
     return start, end, mix64(h)
 
 
+def range_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each byte range; the ranges lie one after the other."""
+    out = np.empty(len(start), np.uint64)
+    lo = 0
+    while lo < len(start):
+        hi = max(lo + 1, int(np.searchsorted(end, start[lo] + BLOCK_BYTES, "right")))
+        a, b = start[lo], end[hi - 1]
+        up, down = powers(_BYTE_MUL, b - a)
+        total = np.zeros(b - a + 1, np.uint64)
+        np.cumsum(_KEYS[data[a:b]] * up[:b - a], out=total[1:])
+        s, e = start[lo:hi] - a, end[lo:hi] - a
+        out[lo:hi] = mix64((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        lo = hi
+    return out
+
+
 def sequence_hash(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     """Hash of every ``width`` consecutive words (also across texts: mask with
     ``Words.left() >= width``); element i starts at word i."""
