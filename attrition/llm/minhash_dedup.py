@@ -19,6 +19,11 @@ Candidates are verified on full sets of 64-bit shingle hashes:
   sets, skips pairs that its own links already connect, and emits at most one
   link a member.  No pair list of a group is ever made and nothing is capped.
 
+Before sets are sent anywhere, a pair must agree on ``AGREE`` of its signature
+coordinates, of which one byte each is kept: at 0.75 a pair has 96 of 128 on the
+average and fewer than 64 with a probability below 1e-9.  So sets are sent only for
+pairs, and members of blocks, that are similar by all their coordinates.
+
 Links' connected components are distributed (``components.py``).
 
 Defined cases: null or wordless text has an empty set and is linked with nothing;
@@ -45,6 +50,7 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 UNIVERSE_BITS = 20
 BLOCK = 256
+AGREE = 0.5             # share of a signature's coordinates
 _tables: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -122,44 +128,68 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
                 sets = shingle_sets(split_words(part.column("text"), lower=True), width)
-                high, low, keys = [], [], []
+                high, low, keys, sketch = [], [], [], []
                 for s in sets:
                     if not len(s):
-                        high.append(None), low.append(None), keys.append(None)
+                        high.append(None), low.append(None), keys.append(None), sketch.append(None)
                         continue
                     high.append(int(mix64(s).sum(dtype=np.uint64).view(np.int64)))
                     low.append(int(mix64(s ^ np.uint64(0x5BF0A8B1457695F5)).sum(dtype=np.uint64).view(np.int64)))
-                    sig = signature(s, bands * rows).reshape(bands, rows).astype(np.uint64)
+                    sig = signature(s, bands * rows)
+                    sketch.append(sig.astype(np.uint8).tobytes())
+                    sig = sig.reshape(bands, rows).astype(np.uint64)
                     key = mix64(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                     for j in range(rows):
                         key = mix64(key + sig[:, j])
                     keys.append(key.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(high, pa.int64()),
-                     pa.array(low, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "n_shingles", "high", "low", "keys"])
+                     pa.array(low, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+                    names=["id", "n_shingles", "high", "low", "keys", "sketch"])
+
+    signed = write_table(source.mapInArrow(sign, "id long, n_shingles long, high long, low long, keys array<long>, sketch binary"), "signatures")
 
-    signed = write_table(source.mapInArrow(sign, "id long, n_shingles long, high long, low long, keys array<long>"), "signatures")
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                sets = shingle_sets(split_words(part.column("text"), lower=True), width)
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "members"])
 
     # classes of equal sets; every member links to the smallest id of its class
     usable = signed.where("id is not null and n_shingles > 0")
-    classes = write_table(usable.groupBy("high", "low").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")), "classes")
+    classes = write_table(usable.groupBy("high", "low").agg(F.min("id").alias("rep"), F.first("keys").alias("keys"),
+                                                            F.first("sketch").alias("sketch")), "classes")
     copies = usable.join(classes.select("high", "low", "rep"), ["high", "low"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    links = verified_links(classes.select("rep", F.explode("keys").alias("key")),
+                           lambda wanted: source.join(wanted, "id", "left_semi").mapInArrow(sets_of, "id long, members binary"),
+                           percent, block, classes.select("rep", "sketch"))
+    final = connected_components(links.unionByName(copies))
+    drop_table(links)
+    return (signed.select("id", "n_shingles").join(final, "id", "left")
+            .select(F.col("id").alias(id_col), "n_shingles",
+                    F.coalesce("component", "id").alias("component_id"))
+            .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))
 
-    buckets = classes.select("rep", F.explode("keys").alias("key"))
-    heads = buckets.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("head < last")
-    pairs = write_table(buckets.join(heads, "key").where("rep <> head").groupBy(F.col("head").alias("a"), F.col("rep").alias("b"))
-                        .agg(F.count(F.lit(1)).alias("bands")), "pairs")
 
+def verified_links(buckets: DataFrame, sets_of, percent: int, block: int = BLOCK, sketches: DataFrame | None = None) -> DataFrame:
+    """Written table of links ``(a, b)`` that connect all sets similar to ``percent``
+    which share a bucket: a star round, then blocks (see above).
+
+    ``buckets(rep long, key long)``; ``sets_of(wanted)`` gives ``(id, members)``, the
+    sorted distinct 64-bit members of every wanted id; ``sketches(rep, sketch)``, if
+    given, holds equally long byte strings of which similar sets share ``AGREE``.
+    """
+    heads = buckets.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("head < last")
+    pairs = write_table(buckets.join(heads, "key").where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    sets = write_table(sets_of(wanted), "sets")
 
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                sets = shingle_sets(split_words(part.column("text"), lower=True), width)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "members"])
-
-    sets = write_table(source.join(wanted, "id", "left_semi").mapInArrow(sets_of, "id long, members binary"), "sets")
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sketch_a", "sketch_b"))
+                yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= AGREE))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,25 +198,47 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
                   for i in range(batch.num_rows)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    both = (pairs.select("a", "b").join(sets.select(F.col("id").alias("b"), F.col("members").alias("set_b")), "b")
+    made, likely = [pairs, sets], pairs
+    if sketches is not None:
+        both = (pairs.join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+                .join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a")), "a"))
+        likely = write_table(both.mapInArrow(agree, "a long, b long"), "likely")
+        made.append(likely)
+    both = (likely.select("a", "b").join(sets.select(F.col("id").alias("b"), F.col("members").alias("set_b")), "b")
             .join(sets.select(F.col("id").alias("a"), F.col("members").alias("set_a")), "a"))
     links = write_table(both.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a long, b long"), "star")
     star = connected_components(links)
 
     # buckets that the star round left with several components, in blocks
     label = star.withColumnRenamed("id", "rep")
-    placed = (buckets.join(heads.select("key"), "key", "left_semi").join(label, "rep", "left")
-              .select("key", "rep", F.coalesce("component", "rep").alias("component")))
-    placed = write_table(placed, "placed")
+    placed = write_table(buckets.join(heads.select("key"), "key", "left_semi").join(label, "rep", "left")
+                         .select("key", "rep", F.coalesce("component", "rep").alias("component")), "placed")
     open_keys = (placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who"))
                  .where("lo < hi"))
     # buckets with the same members are one bucket
     open_keys = open_keys.groupBy("who", "n", "lo", "hi").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    members = (placed.join(open_keys, "key").join(sets.withColumnRenamed("id", "rep"), "rep")
+    members = (placed.join(open_keys, "key")
                .withColumn("mine", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int"))
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-               .select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "rep", "component", "members"))
+               .select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "rep", "component"))
+
+    def test_sketches(pdf: pd.DataFrame) -> pd.DataFrame:
+        p, q = pdf["p"].iloc[0], pdf["q"].iloc[0]
+        side, component = pdf["mine"].to_numpy(), pdf["component"].to_numpy()
+        marks = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), -1)
+        right = np.flatnonzero(side == q)
+        active = np.zeros(len(pdf), bool)
+        for i in np.flatnonzero(side == p):
+            near = right[(component[right] != component[i]) & ((marks[right] == marks[i]).mean(axis=1) >= AGREE)]
+            active[near] = True
+            active[i] |= len(near) > 0
+        return pdf.loc[active, ["key", "p", "q", "mine", "rep", "component"]]
+
+    if sketches is not None:
+        members = write_table(members.join(sketches, "rep").groupBy("key", "p", "q")
+                              .applyInPandas(test_sketches, "key long, p int, q int, mine int, rep long, component long"), "active")
+        made.append(members)
 
     def test_block(pdf: pd.DataFrame) -> pd.DataFrame:
         p, q = pdf["p"].iloc[0], pdf["q"].iloc[0]
@@ -204,15 +256,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
                     found.append((ids[i], ids[j]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    rest = write_table(members.groupBy("key", "p", "q").applyInPandas(test_block, "a long, b long"), "rest")
-    all_links = links.unionByName(rest).unionByName(copies)
-    final = connected_components(all_links)
-    for done in (pairs, sets, placed, links, rest):
+    rest = (members.join(sets.withColumnRenamed("id", "rep"), "rep").groupBy("key", "p", "q").applyInPandas(test_block, "a long, b long"))
+    all_links = write_table(links.unionByName(rest), "links")
+    for done in (*made, placed, links):
         drop_table(done)
-    return (signed.select("id", "n_shingles").join(final, "id", "left")
-            .select(F.col("id").alias(id_col), "n_shingles",
-                    F.coalesce("component", "id").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))
+    return all_links
 
 
 def op3_minhash_dedup(spark, sf_dir: str) -> DataFrame:
