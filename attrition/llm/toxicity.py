@@ -15,7 +15,7 @@ sampled documents, or whose document frequencies in P and U differ by fewer than
 would otherwise add up to noise.
 
 The classifier is fitted on a bounded sample: at most about ``max_positive`` toxic
-and ``max_unlabelled`` unlabelled training documents, chosen by a hash of the id; the
+and ``max_unlabelled`` unlabelled training documents, chosen by a hash of the id (one text of an id that repeats); the
 class prior and the scores cover all rows.  The sample is trained in one task
 (its size is fixed by these parameters); the weights are one row of ``1 << bits``
 numbers.
@@ -118,15 +118,16 @@ def train(docs: DataFrame, labels: DataFrame, usable, text: str = "text", id_col
     n_docs = docs.where(usable).count()
     if not n_toxic or not n_docs:
         return np.zeros(1 << bits), float(np.log(prior / (1 - prior))), prior
+
     def drawn(salt: str, share: float):
-        return F.pmod(F.xxhash64(F.col("id"), F.lit(salt)), F.lit(1_000_000)) < share * 1_000_000
+        return F.shiftrightunsigned(F.xxhash64(F.col("id"), F.lit(salt)), 11) < share * 2.0 ** 53
 
-    toxic = marks.where("toxic = 1").select("id", F.lit(True).alias("found"))
-    in_p, in_u = drawn("positive", max_positive / n_toxic), drawn("unlabelled", max_unlabelled / n_docs)
-    sample = (docs.where(usable).select(F.col(id_col).alias("id"), F.col(text).alias("text")).where(in_p | in_u)
-              .join(toxic, "id", "left")
-              .select((F.coalesce("found", F.lit(False)) & in_p).alias("positive"), in_u.alias("unlabelled"), "text")
-              .where("positive or unlabelled"))
+    # ids are chosen on narrow columns; text is read only for those, about max_positive + max_unlabelled at most
+    positive = marks.where("toxic = 1").where(drawn("positive", max_positive / n_toxic)).select("id", F.lit(True).alias("positive"), F.lit(False).alias("unlabelled"))
+    unlabelled = (docs.where(usable).select(F.col(id_col).alias("id")).where("id is not null").where(drawn("unlabelled", max_unlabelled / n_docs)).distinct()
+                  .select("id", F.lit(False).alias("positive"), F.lit(True).alias("unlabelled")))
+    chosen = positive.unionByName(unlabelled).groupBy("id").agg(F.max("positive").alias("positive"), F.max("unlabelled").alias("unlabelled"))
+    sample = docs.where(usable).select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,9 +135,9 @@ def train(docs: DataFrame, labels: DataFrame, usable, text: str = "text", id_col
                 part = batch.slice(lo, n)
                 ids, first = features(split_words(part.column("text"), lower=True, alnum=True), bits)
                 ids = ids.astype("<u4")
-                yield pa.RecordBatch.from_arrays([part.column("positive"), part.column("unlabelled"),
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("positive"), part.column("unlabelled"),
                                                   pa.array([ids[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())],
-                                                 names=["positive", "unlabelled", "ids"])
+                                                 names=["id", "positive", "unlabelled", "ids"])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         chosen = {side: [np.frombuffer(x, "<u4").astype(np.int64) for x in sorted(pdf.loc[pdf[side], "ids"])] for side in ("positive", "unlabelled")}
@@ -145,7 +146,12 @@ def train(docs: DataFrame, labels: DataFrame, usable, text: str = "text", id_col
         w, bias = fit_nnpu(chosen["positive"], chosen["unlabelled"], prior, 1 << bits)
         return pd.DataFrame({"weights": [w.astype("<f8").tobytes()], "bias": [bias]})
 
-    rows = sample.mapInArrow(extract, "positive boolean, unlabelled boolean, ids binary").groupBy(F.lit("sample").alias("all")).applyInPandas(fit, "weights binary, bias double").collect()
+    # one text of an id that repeats, so that the sample stays bounded
+    extracted = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("positive", T.BooleanType()),
+                              T.StructField("unlabelled", T.BooleanType()), T.StructField("ids", T.BinaryType())])
+    rows = (sample.mapInArrow(extract, extracted)
+            .groupBy("id", "positive", "unlabelled").agg(F.min("ids").alias("ids")).drop("id")
+            .groupBy(F.lit("sample").alias("all")).applyInPandas(fit, "weights binary, bias double").collect())
     if not rows:
         return np.zeros(1 << bits), float(np.log(prior / (1 - prior))), prior
     return np.frombuffer(rows[0]["weights"], "<f8"), rows[0]["bias"], prior
