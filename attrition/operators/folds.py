@@ -42,14 +42,17 @@ def positive_weight(df: DataFrame, label: str = "churn") -> float:
     return neg / pos if pos else 1.0
 
 
-def with_class_weights(df: DataFrame, label: str = "churn", scheme: str = "balanced",
+def with_class_weights(df: DataFrame, label: str = "churn", scheme: str | float = "balanced",
                        out: str = "weight") -> DataFrame:
     """K2/K3 as a ``weightCol``.
 
     ``balanced``: n / (2·n_c) per class (sklearn/LightGBM/CatBoost "Balanced");
     ``pos_ratio``: 1 for negatives, neg/pos for positives (XGBoost scale_pos_weight).
-    Both give the same neg:pos ratio.  Counts come from one aggregate.
+    Both give the same neg:pos ratio.  Counts come from one aggregate.  A number is the
+    weight of positives itself.
     """
+    if not isinstance(scheme, str):
+        return df.withColumn(out, F.when(F.col(label) == 1, F.lit(float(scheme))).otherwise(F.lit(1.0)))
     neg, pos = class_counts(df, label)
     n = neg + pos
     if scheme == "balanced":

@@ -1,16 +1,10 @@
-"""Model training and scoring on ``pyspark.ml``.
+"""Members and their presets.
 
-The reference trains three boosted-tree libraries; here the three members are
-MLlib learners with the same presets mapped onto MLlib parameters:
-
-  xgb → GBTClassifier (depth, step, iterations, row subsampling)
-  lgb → RandomForestClassifier (a second tree family for blend diversity)
-  cat → GBTClassifier on nominal (category-aware) features
-  linear → LogisticRegression on standardised features (optional member)
-
-Every fit is a distributed MLlib job; the only driver loop is over the k
-folds (and over search trials), never over rows.  The feature table is
-materialised once before the fold loop.
+The flows' members are histogram boosters (``boosting.py``) with the reference's
+presets: ``xgb`` level-wise, ``lgb`` leaf-wise, ``cat`` on nominal features
+(``boost_member``).  MLlib learners remain as members of their own: random forest,
+GBT, and logistic regression on standardised features (``make_member``,
+``oof_fit``), one distributed MLlib job a fold.
 """
 
 from __future__ import annotations
@@ -28,6 +22,7 @@ from pyspark.ml.param import Param, Params
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attrition.operators import boosting as BO
 from attrition.operators import evaluate as V
 from attrition.session import cut_lineage, drop_table, write_table
 
@@ -42,6 +37,17 @@ PRESETS = {
     "simple": {"cat": (6, 0.1, 300)},
     "union": {"cat": (8, 0.03, 3000)},
 }
+# Regularisation and sampling of the boosted members, by kind, then by recipe where it differs.
+TERMS = {
+    "xgb": {"rows": 0.8, "columns": 0.8, "l1": 0.5, "l2": 1.0, "min_weight": 3, "min_gain": 0.1},
+    "lgb": {"rows": 0.8, "columns": 0.8, "l1": 0.3, "l2": 1.0, "min_rows": 30, "leaves": 127},
+    "cat": {"l2": 3.0, "bagging": 0.5, "nominal": True},
+    "wide": {"xgb": {"l1": 1.0, "min_weight": 1, "min_gain": 0.0}, "lgb": {"l1": 0.5, "l2": 0.5, "min_rows": 20}},
+    "f1": {"xgb": {"rows": 0.7, "columns": 0.7, "l1": 1.0, "l2": 10.0},
+           "lgb": {"rows": 0.7, "columns": 0.7, "l1": 1.0, "l2": 10.0, "min_rows": 50, "leaves": 31},
+           "cat": {"rows": 0.7, "columns": 0.7, "l2": 10.0, "min_rows": 50, "bagging": 1.0}},
+}
+BOOSTED = ("xgb", "lgb", "cat")
 EARLY_STOP_ROUNDS = {"full": 80, "wide": 100, "v2": 80, "fast": 100, "f1": 300, "simple": 50}
 # Search ranges (M10): learning rate (log), depth, trees, bins.
 SEARCH_SPACE = {"stepSize": (0.01, 0.3), "maxDepth": (4, 10), "maxIter": (200, 1000), "maxBins": (32, 64, 128)}
@@ -94,6 +100,15 @@ def make_member(kind: str, recipe: str = "full", seed: int = 42, weight_col: str
     return m
 
 
+def boost_member(kind: str, recipe: str = "full", seed: int = 42, max_iter: int | None = None) -> BO.Boost:
+    """A boosted member with the recipe's preset.  ``lgb`` and ``cat`` stop
+    early; so does ``xgb`` in the f1 recipe, whose members stop on F1."""
+    depth, rate, trees = PRESETS.get(recipe, PRESETS["full"]).get(kind, (6, 0.1, 100))
+    patience = EARLY_STOP_ROUNDS.get(recipe, EARLY_STOP_ROUNDS["full"]) if kind != "xgb" or recipe == "f1" else 0
+    return BO.Boost(depth=depth, rate=rate, trees=max_iter or trees, patience=patience, metric="f1" if recipe == "f1" else "logloss", seed=seed,
+                    **{**TERMS[kind], **TERMS.get(recipe, {}).get(kind, {})})
+
+
 # ---------------------------------------------------------------- M6 / M7 / M9
 def resample_training(train: DataFrame, feature_names: Sequence[str], nominal: dict | None = None,
                       kind: str = "smote", seed: int = 42, id_col: str = "row_id") -> DataFrame:

@@ -7,6 +7,8 @@ the DuckDB oracle text in ``checks/oracle_sql.py``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 from attrition.plans import recipes
 from attrition.sources.mart import materialized_mart as customer_mart
 from attrition.sources.mart import train_test
+from attrition.sources.tables import input_version
 
 QUERIES: dict = {}
 
@@ -109,7 +112,7 @@ _SCORES: dict = {}
 def _scores(spark, sf_dir):
     """Deterministic score table, checkpointed once per session and input folder."""
     from attrition.session import cut_lineage
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, input_version(spark, sf_dir))
     if key not in _SCORES:
         _SCORES[key] = cut_lineage(pseudo_scores(_train(spark, sf_dir)))
     return _SCORES[key]
@@ -612,19 +615,39 @@ def q_b6(spark, sf_dir):
 
 # ==================================================================== ML, resampling, imputation (rows-only)
 from attrition.operators import resample as RS  # noqa: E402
+from attrition.operators import boosting as BO  # noqa: E402
 from attrition.operators import train as M  # noqa: E402
+from attrition.operators.search import parzen_search  # noqa: E402
 from attrition.plans import oof as OOF  # noqa: E402
 
 _PREPARED: dict = {}
+_FITS: dict = {}
 
 
 def _prepared(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, input_version(spark, sf_dir))
     if key not in _PREPARED:
-        _PREPARED[key] = OOF.prepare(spark, sf_dir, "full")
+        _PREPARED[key] = OOF.prepare(spark, sf_dir, "full", weights=3.0)
     return _PREPARED[key]
 
 
+def _boosted(spark, sf_dir, recipe="full", kinds=("xgb",), folds=range(5)):
+    """The members' models on the prepared table, fitted once a session for the same data."""
+    prep = _prepared(spark, sf_dir)
+    members = {kind: M.boost_member(kind, recipe) for kind in kinds}
+    key = (id(prep), repr(members), tuple(folds))
+    if key not in _FITS:
+        _FITS[key] = BO.fit(prep.train, members, folds, len(prep.feature_cols), OOF.nominal_features(prep))
+    return prep, _FITS[key]
+
+
+def _boosted_oof(*kinds):
+    def fn(spark, sf_dir):
+        prep, fitted = _boosted(spark, sf_dir, kinds=kinds)
+        return reduce(DataFrame.unionByName, [BO.oof_scores(fitted, prep.train, kind).withColumn("model", F.lit(kind)) for kind in kinds])
+    return fn
+
+
 def _member_oof(kind):
     def fn(spark, sf_dir):
         prep = _prepared(spark, sf_dir)
@@ -634,84 +657,66 @@ def _member_oof(kind):
     return fn
 
 
-QUERIES["m1_gbt_oof"] = _member_oof("xgb")
+QUERIES["m1_gbt_oof"] = _boosted_oof("xgb")
 QUERIES["m2_forest_oof"] = _member_oof("lgb")
-QUERIES["m3_nominal_gbt_oof"] = _member_oof("cat")
+QUERIES["m2_leafwise_oof"] = _boosted_oof("lgb")
+QUERIES["m3_nominal_gbt_oof"] = _boosted_oof("cat")
 QUERIES["m3_linear_oof"] = _member_oof("linear")
+QUERIES["m6_oof_score_table"] = _boosted_oof("xgb", "lgb", "cat")
 
 
 @query("m4_early_stopping")
 def q_m4(spark, sf_dir):
-    prep = _prepared(spark, sf_dir)
-    bins = max([32, *prep.cardinality.values()])
-    est = M.make_member("xgb", "full", 42, "weight", None, bins)
-    _, models = M.oof_fit(prep.train, est, 5, early_stop=True)
-    rows = [(f, est.getMaxIter(), len(m.trees)) for f, m in enumerate(models)]
-    return spark.createDataFrame(rows, "fold int, max_trees int, trees_kept int")
+    _, fitted = _boosted(spark, sf_dir, kinds=("lgb", "cat"))
+    rows = [(member, f, M.boost_member(member, "full").trees, n) for (member, f), n in fitted.kept.items()]
+    return spark.createDataFrame(rows, "model string, fold int, max_trees int, trees_kept int")
 
 
 @query("m5_f1_early_stopping")
 def q_m5(spark, sf_dir):
+    """Every round of every fold: F1 at the best cut-off, and whether the model keeps the tree."""
+    from dataclasses import replace
     prep = _prepared(spark, sf_dir)
-    bins = max([32, *prep.cardinality.values()])
-    _, models = M.oof_fit(prep.train, M.make_member("xgb", "full", 42, "weight", None, bins), 5)
-    parts = [M.best_prefix_by_f1(m, prep.train.where(F.col("fold") == f)).withColumn("fold", F.lit(f)) for f, m in enumerate(models)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("fold", "n_trees", "best_threshold", "best_f1")
-
-
-@query("m6_oof_score_table")
-def q_m6(spark, sf_dir):
-    return QUERIES["m1_gbt_oof"](spark, sf_dir).unionByName(QUERIES["m2_forest_oof"](spark, sf_dir))
-
-
-def _fold_models(spark, sf_dir, kind="xgb"):
-    prep = _prepared(spark, sf_dir)
-    bins = max([32, *prep.cardinality.values()])
-    return prep, M.oof_fit(prep.train, M.make_member(kind, "full", 42, "weight", None, bins), 5)
+    member = replace(M.boost_member("xgb", "full"), patience=M.EARLY_STOP_ROUNDS["f1"], metric="f1")
+    fitted = BO.fit(prep.train, {"xgb": member}, range(5), len(prep.feature_cols), OOF.nominal_features(prep))
+    rows = [(f, n, cut, f1, n <= fitted.kept["xgb", f]) for _, f, n, f1, cut in fitted.history]      # one row a round and fold
+    return spark.createDataFrame(rows, "fold int, n_trees int, best_threshold double, best_f1 double, kept boolean")
 
 
 @query("m7_test_fold_mean")
 def q_m7(spark, sf_dir):
-    prep, (_, models) = _fold_models(spark, sf_dir)
-    return M.fold_mean_scores(prep.test, models)
+    prep, fitted = _boosted(spark, sf_dir)
+    return BO.mean_scores(fitted, prep.test, "xgb")
 
 
 @query("m8_refit_full_train")
 def q_m8(spark, sf_dir):
-    prep = _prepared(spark, sf_dir)
-    bins = max([32, *prep.cardinality.values()])
-    model = M.make_member("xgb", "full", 42, "weight", None, bins).fit(prep.train)
-    return model.transform(prep.test).select("row_id", M.p1().alias("p"))
+    prep, fitted = _boosted(spark, sf_dir, folds=(-1,))
+    return BO.mean_scores(fitted, prep.test, "xgb")
 
 
 @query("m9_feature_importance")
 def q_m9(spark, sf_dir):
-    prep, (_, models) = _fold_models(spark, sf_dir)
-    return M.importances(models, prep.feature_cols, 20)
+    prep, fitted = _boosted(spark, sf_dir)
+    return BO.importance_table(fitted, prep.feature_cols, spark, 20)
 
 
 @query("m10_random_search")
 def q_m10(spark, sf_dir):
     prep = _prepared(spark, sf_dir)
-    bins = max([32, *prep.cardinality.values()])
     data = K.stratified_folds(prep.train.drop("fold").withColumnRenamed("label", "churn"), 3, 42) \
         .withColumnRenamed("churn", "label")
-    est = M.make_member("cat", "full", 42, "weight", None, bins)
-    cv, maps = M.random_search(data, est, min_bins=bins, parallelism=2)
-    rows = [(i, float(m[est.stepSize]), int(m[est.maxDepth]), int(m[est.maxIter]), int(m[est.maxBins]), float(s))
-            for i, (m, s) in enumerate(zip(maps, cv.avgMetrics))]
-    return spark.createDataFrame(rows, "trial int, step_size double, max_depth int, max_iter int, max_bins int, "
-                                       "mean_fold_f1 double")
+    rows = parzen_search(data, "cat", M.boost_member("cat", "full"), len(prep.feature_cols), OOF.nominal_features(prep))
+    return spark.createDataFrame([(i, r["rate"], r["depth"], r["trees"], r["l2"], r["bagging"], r["trees_kept"], r["mean_fold_f1"]) for i, r in enumerate(rows)],
+                                 "trial int, step_size double, max_depth int, max_iter int, l2 double, bagging double, trees_kept double, mean_fold_f1 double")
 
 
 @query("m12_hard_labels")
 def q_m12(spark, sf_dir):
-    prep, (oof, models) = _fold_models(spark, sf_dir)
+    prep, fitted = _boosted(spark, sf_dir)
+    oof = BO.oof_scores(fitted, prep.train, "xgb")
     t = V.best_threshold(oof, V.grid("full"), "p", "label").first()["best_threshold"]
-    scored = S.dense_ids(M.fold_mean_scores(prep.test, models), ["row_id"], base=1)
+    scored = S.dense_ids(BO.mean_scores(fitted, prep.test, "xgb"), ["row_id"], base=1)
     return S.hard_labels(scored, t)
 
 
@@ -765,7 +770,7 @@ def q_c9(spark, sf_dir):
 
 @query("pipeline_oof_submission")
 def q_pipeline(spark, sf_dir):
-    return OOF.run(spark, sf_dir)["submission"]
+    return OOF.run_flow(spark, sf_dir, "full")["submission"]
 
 
 @query("streaming_score_new_customers")

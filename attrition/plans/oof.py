@@ -3,7 +3,8 @@
 mart → recipe features (fit scope self) → ordinal codes on train ∪ test (N1)
 → common columns (C13) → median imputer fitted on train (C7) → stratified
 folds (K1) → class weights (K3) → feature vector (N10, nominal codes N8)
-→ per member: OOF scores (M6) and fold-mean test scores (M7)
+→ all boosted members on all folds in one fit (M1–M5), OOF scores (M6) and
+  fold-mean test scores (M7) in one pass
 → long score table → blend-weight search (B3) → best cut-off (V2), AUC (V6),
 report (V7) → test labels (M12) → output check (S8) → run log (S7).
 
@@ -15,13 +16,14 @@ instead of recomputing the mart joins.
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.operators.clean import sweep_inf
 from attrition.operators import blend as B
+from attrition.operators import boosting as BO
 from attrition.operators import evaluate as V
 from attrition.operators import train as M
 from attrition.operators.clean import median_fill_scoped
@@ -62,7 +64,7 @@ def _target_encodings(ftr: DataFrame, fte: DataFrame, k: int):
 
 
 def prepare(spark: SparkSession, sf_dir: str, recipe: str = "full", k: int = 5, seed: int = 42,
-            weights: str = "balanced", impute: str = "median", scale: bool = False,
+            weights: str | float = "balanced", impute: str = "median", scale: bool = False,
             target_encodings: bool = False) -> Prepared:
     """Feature table for one flow.  ``impute``: ``median`` (C7, fitted on train)
     or ``iterative`` (C3 winsorising + C9, fitted on train); ``scale``: N9;
@@ -120,53 +122,95 @@ FLOWS = {
     "wide": dict(recipe="wide", members=("xgb", "lgb", "cat"), blend="mean", grid="wide", scale=True,
                  resample="smote", resample_members=("lgb", "cat")),
     "v2": dict(recipe="v2", members=("xgb", "lgb", "cat"), blend="fixed", grid="v2", scale=True),
-    "full": dict(recipe="full", members=("xgb", "lgb", "cat"), blend="grid", grid="full"),
+    "full": dict(recipe="full", members=("xgb", "lgb", "cat"), blend="grid", grid="full", weights=3.0),
     "f1": dict(recipe="f1", members=("cat", "lgb", "xgb"), blend="exact", grid=None, target_encodings=True),
     "union": dict(recipe="union", members=("cat",), blend="single", grid="union"),
     "light": dict(recipe="light", members=("cat",), blend="single", grid="light", impute="iterative"),
-    "raw": dict(recipe="raw", members=("cat",), blend="single", grid="light"),
+    "raw": dict(recipe="raw", members=("cat",), blend="single", grid="light", refit=True),
 }
 
 
+def nominal_features(prep: Prepared) -> dict[int, int]:
+    """Place and number of values of each nominal feature."""
+    return {prep.feature_cols.index(c): n for c, n in prep.cardinality.items()}
+
+
+def fit_members(prep: Prepared, members: dict, k: int) -> BO.Fitted:
+    """Boosted members on every fold's training rows."""
+    return BO.fit(prep.train, members, range(k), len(prep.feature_cols), nominal_features(prep))
+
+
+def fit_resampled(prep: Prepared, members: dict, k: int, kind: str, seed: int) -> BO.Fitted:
+    """As ``fit_members``, each fold's training rows resampled (K4/K5); held-out rows are not."""
+    nobody = k
+    rows = prep.train.select("row_id", "label", "fold", F.lit(1.0).alias("weight"), "features", F.lit(nobody).alias("only"))
+    for f in range(k):
+        made = M.resample_training(prep.train.where(F.col("fold") != f), prep.feature_cols, prep.cardinality, kind, seed + f)
+        rows = rows.unionByName(made.select("row_id", "label", F.lit(-1).alias("fold"), "weight", "features", F.lit(f).alias("only")))
+    return BO.fit(rows, members, range(k), len(prep.feature_cols), nominal_features(prep), only="only")
+
+
 def run_flow(spark: SparkSession, sf_dir: str, flow: str = "full", **kw) -> dict:
     """Run one of the reference's flows end to end (``FLOWS``)."""
     return run(spark, sf_dir, **{**FLOWS[flow], **kw})
 
 
 def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb", "lgb", "cat"), k: int = 5,
-        max_iter: int | None = None, parallelism: int | None = None, seed: int = 42,
+        max_iter: int | None = None, seed: int = 42,
         timings: dict | None = None, output_dir: str | None = None, blend: str = "grid",
         grid: str | None = "full", impute: str = "median", scale: bool = False,
         target_encodings: bool = False, resample: str | None = None,
-        resample_members: tuple = ("lgb", "cat"), early_stop: bool = False, max_bins: int = MAX_BINS) -> dict:
-    """``max_iter``: trees a member (None: the recipe's preset).  ``early_stop``: M4 on
-    the held-out fold, with resampling where that is asked for too.  ``max_bins``: MLlib's
-    bins a feature, at least the values of a nominal category.
-    ``parallelism``: folds fitted concurrently (default k) – each fit is a
-    chain of small MLlib jobs, so concurrent folds keep the executors busy.
+        resample_members: tuple = ("lgb", "cat"), early_stop: bool = True, max_bins: int = MAX_BINS,
+        weights: str | float = "balanced", refit: bool = False) -> dict:
+    """``max_iter``: trees a member (None: the recipe's preset).  ``early_stop``: M4/M5 on
+    the held-out fold, with the recipe's patience and metric, for the members that the
+    recipe stops.  ``max_bins``: MLlib's bins a feature (``linear`` and other MLlib
+    members).  ``refit`` (M8): test scores from models on all rows, with the mean number
+    of trees kept, instead of the fold models' mean.
     ``output_dir``: also write the submission (S4), the blended probabilities
     (S5), one labelled file per member at its own exact-F1 cut-off (S6) and
     append the run metrics (S7)."""
     t = timings if timings is not None else {}
     t0 = time.time()
-    prep = prepare(spark, sf_dir, recipe, k, seed, impute=impute, scale=scale,
+    prep = prepare(spark, sf_dir, recipe, k, seed, weights=weights, impute=impute, scale=scale,
                    target_encodings=target_encodings)
     t["prepare"] = time.time() - t0
+    boosts = {kind: M.boost_member(kind, recipe, seed, max_iter) for kind in members if kind in M.BOOSTED}
+    if not early_stop:
+        boosts = {kind: replace(b, patience=0) for kind, b in boosts.items()}
+    sampled = {kind: b for kind, b in boosts.items() if resample and kind in resample_members}
+    fits = {}
+    for own, fit in (({kind: b for kind, b in boosts.items() if kind not in sampled}, lambda own: fit_members(prep, own, k)),
+                     (sampled, lambda own: fit_resampled(prep, own, k, resample, seed))):
+        if own:
+            t1 = time.time()
+            fitted = fit(own)
+            fits.update(dict.fromkeys(own, fitted))
+            t["fit_" + "_".join(own)] = time.time() - t1
     oofs, tests = [], []
     for kind in members:
-        t1 = time.time()
-        est = M.make_member(kind, recipe, seed, "weight", max_iter, max_bins)
-        rs = resample if kind in resample_members else None
-        oof, models = M.oof_fit(prep.train, est, k, parallelism=parallelism or k, early_stop=early_stop, resample=rs,
-                                feature_names=prep.feature_cols, nominal=prep.cardinality, seed=seed)
-        tests.append(M.fold_mean_scores(prep.test, models).withColumn("model", F.lit(kind)))
+        if kind in fits:
+            oof, test = BO.oof_scores(fits[kind], prep.train, kind), BO.mean_scores(fits[kind], prep.test, kind)
+            if refit:
+                trees = round(sum(fits[kind].kept[kind, f] for f in range(k)) / k)
+                whole = BO.fit(prep.train, {kind: replace(boosts[kind], trees=max(1, trees), patience=0)}, [-1], len(prep.feature_cols), nominal_features(prep))
+                test = BO.mean_scores(whole, prep.test, kind)
+        else:
+            t1 = time.time()
+            oof, models = M.oof_fit(prep.train, M.make_member(kind, recipe, seed, "weight", max_iter, max_bins), k,
+                                    resample=resample if kind in resample_members else None,
+                                    feature_names=prep.feature_cols, nominal=prep.cardinality, seed=seed)
+            test = M.fold_mean_scores(prep.test, models)
+            t[f"fit_{kind}"] = time.time() - t1
+        tests.append(test.withColumn("model", F.lit(kind)))
         oofs.append(oof.withColumn("model", F.lit(kind)))
-        t[f"fit_{kind}"] = time.time() - t1
     t1 = time.time()
     long = oofs[0]
     for o in oofs[1:]:
         long = long.unionByName(o)
     long = cut_lineage(long)
+    folds = (V.best_threshold(long, V.grid("fold"), "p", "label", keys=["model", "fold"]).select("model", "fold", "best_threshold", "best_f1")
+             .join(V.roc_auc(long, "p", "label", keys=["model", "fold"]).select("model", "fold", "auc"), ["model", "fold"], "left"))
     wide = B.pivot_scores(long, list(members))
     names = list(members)
     if blend == "fixed" and len(names) != len(B.V2_WEIGHTS):
@@ -211,9 +255,12 @@ def run(spark: SparkSession, sf_dir: str, recipe: str = "full", members=("xgb",
                      .join(ided.select("row_id", "id"), "row_id")
                      .select("id", (F.col("p") >= F.col("best_threshold")).cast("int").alias("churn"), "model"))
         S.write_csv(per_model, os.path.join(output_dir, "per_model"), partition_by=["model"])
+        per_fold = folds.collect()                                          # members × folds rows
         S.append_metrics(spark, os.path.join(output_dir, "run_metrics"), f"{recipe}-{seed}",
                          {**{f"time/{k}": v for k, v in t.items()}, "eval/best_f1": float(best["best_f1"]),
                           "eval/threshold": threshold, "eval/auc": float(auc or 0.0),
-                          **{f"blend/w{i + 1}": x for i, x in enumerate(w)}})
+                          **{f"blend/w{i + 1}": x for i, x in enumerate(w)},
+                          **{f"fold/{r['model']}/{r['fold']}/{m}": float(r[m] or 0.0) for r in per_fold for m in ("best_f1", "auc")}})
     return {"oof": long, "weights": w, "threshold": threshold, "best_f1": float(best["best_f1"]),
-            "auc": auc, "report": report, "submission": submission, "check": check, "prepared": prep}
+            "auc": auc, "report": report, "folds": folds, "kept": {n: x for f in fits.values() for n, x in f.kept.items()},
+            "submission": submission, "check": check, "prepared": prep}

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.functions.nullsafe import INF, sdiv
-from attrition.sources.tables import read_table
+from attrition.sources.tables import input_version, read_table
 
 # Fixed values of the synthetic mart (FIXTURES.md §2).
 CUTOFF = "2000-08-01"
@@ -122,7 +122,7 @@ def materialized_mart(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) ->
     instead of re-running the lineitem/orders joins (and survive executor loss).
     """
     from attrition.session import cut_lineage
-    key = (id(spark.sparkContext), spark.sparkContext.applicationId, sf_dir, cutoff)
+    key = (id(spark.sparkContext), spark.sparkContext.applicationId, sf_dir, input_version(spark, sf_dir), cutoff)
     if key not in _MATERIALIZED:
         _MATERIALIZED[key] = cut_lineage(customer_mart(spark, sf_dir, cutoff))
     return _MATERIALIZED[key]

@@ -24,6 +24,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> Dat
     return df.select(*columns) if columns else df
 
 
+def input_version(spark: SparkSession, sf_dir: str) -> int:
+    """A number that changes with an input folder (bytes, number of files, its tables'
+    times), so that tables made from it once a session are made anew when it changes."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    whole = fs.getContentSummary(path)
+    tables = sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path))
+    return hash((whole.getLength(), whole.getFileCount(), *tables))
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on equal keys where NULL equals NULL; the left side's keys are kept.
     Spark picks the join by measured bytes (broadcast below its threshold, else a

@@ -53,8 +53,10 @@ def test_pipeline_writes_all_outputs(spark):
 
 def test_reference_flows_run_end_to_end(spark):
     from attrition.plans import oof
-    for flow in ("simple", "f1", "union"):
-        res = oof.run_flow(spark, SF_SMALL, flow, max_iter=2)
+    for flow in ("simple", "f1", "union", "wide", "raw"):
+        res = oof.run_flow(spark, SF_SMALL, flow, max_iter=3)
+        assert res["folds"].count() == 5 * len(oof.FLOWS[flow]["members"]), flow
+        assert set(res["kept"].values()) <= {1, 2, 3}, flow
         assert all(r.passed for r in res["check"].collect()), flow
         assert abs(sum(res["weights"]) - 1.0) < 1e-9
         assert 0.0 <= res["best_f1"] <= 1.0
@@ -88,13 +90,18 @@ def test_registered_queries_use_the_presets(spark, monkeypatch):
         return e.value.args
 
     monkeypatch.setattr(M, "oof_fit", stop)
-    trees = {"m1_gbt_oof": 700, "m2_forest_oof": 700, "m3_nominal_gbt_oof": 600, "m4_early_stopping": 700, "m7_test_fold_mean": 700}
+    assert asked("m2_forest_oof")[0][1].getOrDefault("numTrees") == 700
+    monkeypatch.setattr(Q.BO, "fit", stop)
+    trees = {"m1_gbt_oof": [700], "m2_leafwise_oof": [700], "m3_nominal_gbt_oof": [600], "m4_early_stopping": [700, 600],
+             "m5_f1_early_stopping": [700], "m6_oof_score_table": [700, 700, 600], "m7_test_fold_mean": [700], "m8_refit_full_train": [700]}
     for name, n in trees.items():
-        est = asked(name)[0][1]
-        assert est.getOrDefault("numTrees" if est.hasParam("numTrees") else "maxIter") == n, name
-    monkeypatch.setattr(M, "random_search", stop)
+        members = asked(name)[0][1]
+        assert [m.trees for m in members.values()] == n, name
+        assert {k: m.patience for k, m in members.items() if k != "xgb"} == {k: 80 for k in members if k != "xgb"}
+    assert asked("m5_f1_early_stopping")[0][1]["xgb"].patience == 300
+    monkeypatch.setattr(Q, "parzen_search", stop)
     args, kw = asked("m10_random_search")
-    assert args[1].getMaxIter() == 600 and not {"trials", "max_iter_cap"} & set(kw)
+    assert args[2].trees == 600 and not {"trials", "patience"} & set(kw)
     monkeypatch.setattr(Q.OOF, "run", stop)
     assert "max_iter" not in asked("pipeline_oof_submission")[1]
     monkeypatch.setattr(Q.C, "iterative_impute", stop)
