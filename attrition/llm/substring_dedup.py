@@ -10,8 +10,12 @@ included) is removed; windows are judged on the input.
 2. *Confirmed passages.* The candidates' 96-bit sequence hashes are counted over
    the corpus; a maximal run of recurring windows is a passage.
 3. *Automata.* Each chunk's distinct passages are compiled into Aho-Corasick
-   automata (pyahocorasick, sharded by ``automaton_words``), and all documents of
-   the chunk are streamed through them; the places found are the words to remove.
+   automata (pyahocorasick, sharded by ``automaton_words``), and the documents of
+   the chunk that hold one are streamed through them; the places found are the words
+   to remove.  A passage longer than ``PIECE`` windows' words is cut into pieces of that
+   length which share all but one word of a window, so that no automaton holds more
+   than ``automaton_words`` words and few passages end at one place, however long or
+   repetitive a text is.
 
 Both counts are exact exchanges of packed arrays (``chunks.py``).
 
@@ -40,6 +44,8 @@ from attrition.session import write_table
 
 WINDOW = 35
 GRAM = 12
+PIECE = 4               # windows' words in a piece of a passage
+CHUNK_BYTES, BUCKET_BYTES = 2 << 20, 32 << 20
 AUTOMATON_WORDS = 500_000
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 RESULT = [T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()),
@@ -146,6 +152,17 @@ def _utf32(codes: np.ndarray) -> str:
     return np.where(codes >= 0xD800, codes + 0x800, codes).astype("<u4").tobytes().decode("utf-32-le")
 
 
+def _pieces(lo: np.ndarray, hi: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word ranges cut to at most ``PIECE * window`` words; every window stays whole in one."""
+    size = PIECE * window
+    n = np.maximum(1, -(-(hi - lo - window + 1) // (size - window + 1)))
+    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    start = np.repeat(lo, n) + k * (size - window + 1)
+    # the last piece of a longer range has full length, too
+    start = np.maximum(np.minimum(start, np.repeat(hi, n) - size), np.repeat(lo, n))
+    return start, np.minimum(start + size, np.repeat(hi, n))
+
+
 def _covered(w: Words, starts: np.ndarray, window: int, automaton_words: int) -> np.ndarray:
     """Words covered by an occurrence of a passage.  ``starts``: recurring windows."""
     cover = np.zeros(len(w.hash) + 1, np.int64)
@@ -156,9 +173,10 @@ def _covered(w: Words, starts: np.ndarray, window: int, automaton_words: int) ->
     lo = starts[new]
     hi = starts[np.append(np.flatnonzero(new)[1:] - 1, len(starts) - 1)] + window
     docs = np.unique(doc)
+    lo, hi = _pieces(lo, hi, window)
     at = 0
     while at < len(lo):
-        # a shard: passages of at most automaton_words words (one longer passage fills a shard alone)
+        # a shard: passages of at most automaton_words words
         stop = max(at + 1, int(np.searchsorted(np.cumsum(hi[at:] - lo[at:]), automaton_words, "right")) + at)
         inside = np.concatenate([w.hash[a:b] for a, b in zip(lo[at:stop], hi[at:stop])])
         vocab = np.unique(inside)
@@ -194,8 +212,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, gr
     if text in taken:
         raise ValueError(f"the text column can't be called {text}")
     docs = docs.drop(*taken)
-    chunks = pack(docs, text)
-    buckets = bucket_count(chunks)
+    chunks = pack(docs, text, chunk_bytes=CHUNK_BYTES)
+    buckets = bucket_count(chunks, BUCKET_BYTES)
     own_columns = docs.columns
     result_schema = T.StructType([*docs.schema.fields, *RESULT])
 
