@@ -15,14 +15,16 @@ Candidates are verified on full sets of 64-bit shingle hashes:
 * star round: in each band bucket every member is paired with the bucket's
   smallest id, pairs are verified and components formed;
 * the rest, exactly: buckets that still hold two components or more are cut into
-  blocks; each pair of blocks tests its members of different components on full
+  blocks, those of its largest component apart from the others; each pair of blocks,
+  but for two of that component, tests its members of different components on full
   sets, skips pairs that its own links already connect, and emits at most one
   link a member.  No pair list of a group is ever made and nothing is capped.
 
-Before sets are sent anywhere, a pair must agree on ``AGREE`` of its signature
-coordinates, of which one byte each is kept: at 0.75 a pair has 96 of 128 on the
-average and fewer than 64 with a probability below 1e-9.  So sets are sent only for
-pairs, and members of blocks, that are similar by all their coordinates.
+Before sets are made or sent, the sizes of a pair's sets must allow the similarity and
+it must agree on ``AGREE`` of its signature coordinates, of which one byte each is
+kept: at 0.75 a pair has 96 of 128 on the average and fewer than 70 with a probability
+below 1e-6.  So texts are read again, and sets sent, only for pairs, and members of
+blocks, that are similar by all their coordinates.
 
 Links' connected components are distributed (``components.py``).
 
@@ -50,7 +52,7 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 UNIVERSE_BITS = 20
 BLOCK = 256
-AGREE = 0.5             # share of a signature's coordinates
+AGREE = 0.55            # share of a signature's coordinates
 _tables: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -158,12 +160,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
 
     # classes of equal sets; every member links to the smallest id of its class
     usable = signed.where("id is not null and n_shingles > 0")
-    classes = write_table(usable.groupBy("high", "low").agg(F.min("id").alias("rep"), F.first("keys").alias("keys"),
+    classes = write_table(usable.groupBy("high", "low").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"),
                                                             F.first("sketch").alias("sketch")), "classes")
     copies = usable.join(classes.select("high", "low", "rep"), ["high", "low"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     links = verified_links(classes.select("rep", F.explode("keys").alias("key")),
                            lambda wanted: source.join(wanted, "id", "left_semi").mapInArrow(sets_of, "id long, members binary"),
-                           percent, block, classes.select("rep", "sketch"))
+                           percent, block, classes.select("rep", "n", "sketch"))
     final = connected_components(links.unionByName(copies))
     drop_table(links)
     return (signed.select("id", "n_shingles").join(final, "id", "left")
@@ -177,19 +179,19 @@ def verified_links(buckets: DataFrame, sets_of, percent: int, block: int = BLOCK
     which share a bucket: a star round, then blocks (see above).
 
     ``buckets(rep long, key long)``; ``sets_of(wanted)`` gives ``(id, members)``, the
-    sorted distinct 64-bit members of every wanted id; ``sketches(rep, sketch)``, if
-    given, holds equally long byte strings of which similar sets share ``AGREE``.
+    sorted distinct 64-bit members of every wanted id; ``sketches(rep, n, sketch)``, if
+    given, holds set sizes and equally long byte strings of which similar sets share
+    ``AGREE``.
     """
-    heads = buckets.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("head < last")
-    pairs = write_table(buckets.join(heads, "key").where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = write_table(sets_of(wanted), "sets")
+    def near(n_a, n_b, x, y):
+        """Whether sizes and sketches allow the similarity."""
+        return (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)) & ((x == y).mean(axis=1) >= AGREE)
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sketch_a", "sketch_b"))
-                yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= AGREE))
+                yield batch.select(["a", "b"]).filter(pa.array(near(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), x, y)))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,12 +200,16 @@ def verified_links(buckets: DataFrame, sets_of, percent: int, block: int = BLOCK
                   for i in range(batch.num_rows)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    made, likely = [pairs, sets], pairs
+    heads = buckets.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("head < last")
+    pairs = write_table(buckets.join(heads, "key").where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+    made, likely = [pairs], pairs
     if sketches is not None:
-        both = (pairs.join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-                .join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a")), "a"))
-        likely = write_table(both.mapInArrow(agree, "a long, b long"), "likely")
+        side = lambda s: sketches.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
+        likely = write_table(pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(agree, "a long, b long"), "likely")
         made.append(likely)
+    # the ids are a table of their own, so that Spark knows their bytes before it plans the join with the texts
+    wanted = write_table(likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct(), "wanted")
+    sets = write_table(sets_of(wanted), "sets")
     both = (likely.select("a", "b").join(sets.select(F.col("id").alias("b"), F.col("members").alias("set_b")), "b")
             .join(sets.select(F.col("id").alias("a"), F.col("members").alias("set_a")), "a"))
     links = write_table(both.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a long, b long"), "star")
@@ -213,32 +219,45 @@ def verified_links(buckets: DataFrame, sets_of, percent: int, block: int = BLOCK
     label = star.withColumnRenamed("id", "rep")
     placed = write_table(buckets.join(heads.select("key"), "key", "left_semi").join(label, "rep", "left")
                          .select("key", "rep", F.coalesce("component", "rep").alias("component")), "placed")
-    open_keys = (placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                           F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who"))
-                 .where("lo < hi"))
-    # buckets with the same members are one bucket
-    open_keys = open_keys.groupBy("who", "n", "lo", "hi").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    members = (placed.join(open_keys, "key")
-               .withColumn("mine", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int"))
-               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-               .select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "rep", "component"))
+    by_component = (placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who")))
+    open_keys = (by_component.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("n"), F.sum("who").alias("who"),
+                                                 F.count(F.lit(1)).alias("components")).where("components > 1"))
+    # buckets with the same members are one bucket; members of its largest component ("major") need no test with each other
+    open_keys = (open_keys.groupBy("who", "n", "components").agg(F.min(F.struct("key", "most")).alias("first"))
+                 .select("first.key", F.col("first.most.component").alias("major"),
+                         F.ceil(F.col("first.most.n") / block).cast("int").alias("majors"),
+                         F.ceil((F.col("n") - F.col("first.most.n")) / block).cast("int").alias("minors")))
+    members = placed.join(open_keys, "key")
+    if sketches is not None:
+        members = members.join(sketches, "rep")
+    is_major = F.col("component") == F.col("major")
+    mine = F.when(is_major, F.pmod(F.xxhash64("rep", F.lit(7)), F.col("majors"))).otherwise(F.col("majors") + F.pmod(F.xxhash64("rep", F.lit(7)), F.col("minors")))
+    last = F.col("majors") + F.col("minors") - 1
+    members = (members.withColumn("mine", mine.cast("int"))
+               .withColumn("other", F.explode(F.sequence(F.when(is_major, F.col("majors")).otherwise(F.lit(0)), last)))
+               .withColumn("p", F.least("mine", "other")).withColumn("q", F.greatest("mine", "other")))
+    columns = ["key", "p", "q", "mine", "rep", "component"]
 
     def test_sketches(pdf: pd.DataFrame) -> pd.DataFrame:
         p, q = pdf["p"].iloc[0], pdf["q"].iloc[0]
-        side, component = pdf["mine"].to_numpy(), pdf["component"].to_numpy()
+        side, component, n = (pdf[c].to_numpy() for c in ("mine", "component", "n"))
         marks = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), -1)
         right = np.flatnonzero(side == q)
         active = np.zeros(len(pdf), bool)
         for i in np.flatnonzero(side == p):
-            near = right[(component[right] != component[i]) & ((marks[right] == marks[i]).mean(axis=1) >= AGREE)]
-            active[near] = True
-            active[i] |= len(near) > 0
-        return pdf.loc[active, ["key", "p", "q", "mine", "rep", "component"]]
-
-    if sketches is not None:
-        members = write_table(members.join(sketches, "rep").groupBy("key", "p", "q")
+            found = right[(component[right] != component[i]) & near(n[right], n[i], marks[right], marks[i])]
+            active[found] = True
+            active[i] |= len(found) > 0
+        return pdf.loc[active, columns]
+
+    if sketches is None:
+        members = members.select(*columns)
+    else:
+        members = write_table(members.select(*columns, "n", "sketch").groupBy("key", "p", "q")
                               .applyInPandas(test_sketches, "key long, p int, q int, mine int, rep long, component long"), "active")
         made.append(members)
+    more = write_table(members.select(F.col("rep").alias("id")).distinct().join(wanted, "id", "left_anti"), "wanted")
+    others = write_table(sets_of(more), "sets")
 
     def test_block(pdf: pd.DataFrame) -> pd.DataFrame:
         p, q = pdf["p"].iloc[0], pdf["q"].iloc[0]
@@ -256,9 +275,10 @@ def verified_links(buckets: DataFrame, sets_of, percent: int, block: int = BLOCK
                     found.append((ids[i], ids[j]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    rest = (members.join(sets.withColumnRenamed("id", "rep"), "rep").groupBy("key", "p", "q").applyInPandas(test_block, "a long, b long"))
+    rest = (members.join(sets.unionByName(others).withColumnRenamed("id", "rep"), "rep")
+            .groupBy("key", "p", "q").applyInPandas(test_block, "a long, b long"))
     all_links = write_table(links.unionByName(rest), "links")
-    for done in (*made, placed, links):
+    for done in (*made, wanted, more, sets, others, placed, links):
         drop_table(done)
     return all_links
 

@@ -12,10 +12,10 @@ of its own and the next partition; inside, an index holds of each set its rarest
 signatures, as many as two similar sets cannot both avoid; what meets there is
 compared by a Jaccard that stops as soon as the sizes exclude it.
 
-Fingerprints of a text and its edited text (``edited_fingerprints``): documents go
-through one range exchange in descending order; a task sees each document beside the
-next one, and the documents at the two ends of a range, one pair a task, are completed
-in a second, small pass.
+Fingerprints of a text and its edited text (``edited_fingerprints``): documents are
+dealt to ranges of descending ids, whose bounds come from the ids alone; the first
+document of a range is found on narrow columns and sent to the range before as well.
+So texts are exchanged once, and a task sees each document beside the next one.
 
 Defined cases: a text without signatures is one signature, of its words or, without
 words, of its bytes; null is an empty text, whose fingerprint is empty; two empty
@@ -33,8 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attrition.llm.bpe import merged
@@ -180,50 +179,67 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_
     ship_package(spark)
     known = anchor_hashes(anchors)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"))
-    order = [F.col("id").desc_nulls_last(), F.xxhash64("text")]
-    ordered = source.repartitionByRange(*order).sortWithinPartitions(*order)
-
-    def with_edges(done: pa.RecordBatch, edge: list) -> pa.RecordBatch:
-        n = done.num_rows
-        part, kind, texts = edge or ([None] * n, [None] * n, [None] * n)
-        return pa.RecordBatch.from_arrays([*done.columns, pa.array(part, pa.int32()), pa.array(kind, pa.string()), pa.array(texts, pa.string())],
-                                          names=[*done.schema.names, "part", "edge", "edge_text"])
-
-    def at_edge(ids: pa.Array, kind: str, edge_text: str) -> pa.RecordBatch:
-        nothing = pa.RecordBatch.from_arrays([ids, *(pa.nulls(1, t) for _, t in RESULT)], names=["id", *(n for n, _ in RESULT)])
-        return with_edges(nothing, [[TaskContext.get().partitionId()], [kind], [edge_text]])
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = source.withColumn("tie", F.xxhash64("text")).withColumn("range", _ranges(source.select("id"), tasks))
+    # the first document of each range (a row per range), which also follows the last one of the range before
+    firsts = write_table(placed.groupBy("range").agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.bitwise_not("id").alias("back"), "tie")).alias("f"))
+                         .select("range", F.bitwise_not("f.back").alias("id"), F.col("f.tie").alias("tie")), "firsts")
+    used = sorted(r["range"] for r in firsts.select("range").collect())
+    place = {r: i for i, r in enumerate(used)}
+    before = spark.createDataFrame([(r, place[r], (place[r] - 1) % len(used)) for r in used], "range int, place int, before int")
+    guests = F.broadcast(firsts.join(before, "range").select(F.col("id").alias("f_id"), F.col("tie").alias("f_tie"), "before"))    # at most `tasks` rows
+    guest = (placed.join(guests, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("tie") == F.col("f_tie")))
+             .groupBy("before").agg(F.first("id").alias("id"), F.first("tie").alias("tie"), F.first("text").alias("text"))
+             .select("id", "text", "tie", F.col("before").alias("place"), F.lit(True).alias("guest")))
+    own = placed.join(F.broadcast(before.select("range", "place")), "range").select("id", "text", "tie", "place", F.lit(False).alias("guest"))
+    ordered = (own.unionByName(guest).repartitionById(max(1, len(used)), F.col("place").cast("int"))
+               .sortWithinPartitions("guest", F.col("id").desc_nulls_last(), "tie"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_id, held = None, None
         for batch in merged(batches, "text", SLICE_BYTES):
             ids, texts = batch.column("id"), batch.column("text").to_pylist()
-            if held is None:
-                yield at_edge(ids.slice(0, 1), "first", texts[0])
-            else:
+            if held is not None:
                 ids, texts = pa.concat_arrays([held_id, ids]), [held, *texts]
             if len(texts) > 1:
-                yield with_edges(_compare(ids.slice(0, len(texts) - 1), texts[:-1], texts[1:], known, chain, "id"), [])
-            held_id, held = ids.slice(len(texts) - 1, 1), texts[-1]
-        if held is not None:
-            yield at_edge(held_id, "last", held)
+                yield _compare(ids.slice(0, len(texts) - 1), texts[:-1], texts[1:], known, chain, id_col)
+            held_id, held = ids.slice(len(texts) - 1, 1), texts[-1]         # in the end: the guest
         gc.collect()
         give_back()
 
-    done = write_table(ordered.mapInArrow(run, f"id long, {RESULT_DDL}, part int, edge string, edge_text string"), "ranges")
-    # at most one row a task: the ranges that hold documents, in order
-    parts = sorted(r["part"] for r in done.where("edge = 'first'").select("part").collect())
-    follows = spark.createDataFrame(list(zip(parts, [*parts[1:], *parts[:1]])), "part int, following int")
-    last = done.where("edge = 'last'").select("id", "part", F.col("edge_text").alias("text")).join(follows, "part")
-    first = done.where("edge = 'first'").select(F.col("part").alias("following"), F.col("edge_text").alias("next_text"))
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield _compare(batch.column("id"), batch.column("text").to_pylist(), batch.column("next_text").to_pylist(), known, chain, "id")
-
-    ends = last.join(first, "following").select("id", "text", "next_text").mapInArrow(finish, f"id long, {RESULT_DDL}")
-    return (done.where("edge is null").select("id", *(n for n, _ in RESULT)).unionByName(ends)
-            .withColumnRenamed("id", id_col))
+    return ordered.select("id", "text").mapInArrow(run, f"`{id_col}` long, {RESULT_DDL}")
+
+
+def _ranges(ids: DataFrame, n: int) -> Column:
+    """The range (from 0, descending by id, ties by hash of the text) of columns ``id``
+    and ``tie``: about equal numbers of rows; an id, or the missing one, that fills
+    several ranges is cut by the hash."""
+    row = ids.agg(F.percentile_approx("id", [(i + 1) / n for i in range(n)], 10_000).alias("q"), F.count(F.lit(1)).alias("n"),
+                  F.count("id").alias("known")).first()
+    cuts = sorted(row["q"] or [], reverse=True)
+    none = max(1, round(n * (row["n"] - row["known"]) / max(1, row["n"])))
+    # bounds: an id that is cut k times has k ranges of its own
+    bounds = [(c, cuts.count(c)) for c in dict.fromkeys(cuts)]
+    share = F.least(F.col("tie") / F.lit(2.0 ** 64) + 0.5, F.lit(1 - 2.0 ** -53))
+    ids_, first, width, at = [], [], [], 0
+    for c, k in bounds:
+        # rows above this bound and below the one before, then the bound itself
+        ids_.append(c)
+        first.append(at)
+        width.append(k)
+        at += 1 + k
+    if not ids_:
+        return F.floor(share * none).cast("int")
+    # bounds above the id, by halving
+    steps = [1 << j for j in reversed(range(len(ids_).bit_length()))]
+    listed = F.array(*map(F.lit, ids_))
+    above = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda n, s: F.when(
+        (n + s <= len(ids_)) & (F.element_at(listed, F.least(n + s, F.lit(len(ids_)))) > F.col("id")), n + s).otherwise(n))
+    i = F.least(above, F.lit(len(ids_) - 1))
+    get = lambda xs: F.element_at(F.array(*map(F.lit, xs)), i + 1)
+    on_bound = get(ids_) == F.col("id")
+    inside = F.when(above >= len(ids_), F.lit(at)).when(on_bound, get(first) + 1 + F.floor(share * get(width))).otherwise(get(first))
+    return F.when(F.col("id").isNull(), at + 1 + F.floor(share * none)).otherwise(inside).cast("int")
 
 
 def op12_document_fingerprints(spark, sf_dir: str) -> DataFrame:
