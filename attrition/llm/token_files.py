@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrition.llm.bpe import WordMemo, forget, load, merged, slices, spread, vocabulary
@@ -154,6 +154,26 @@ def encoder(path: str) -> _Encoder:
     return _encoders[path]
 
 
+def _part(named: DataFrame, parts: int) -> Column:
+    """The range of a row's id among ``parts`` ranges of about as many rows.  The
+    bounds come from the ids alone; no text is read for them.  An id that is a bound
+    of several ranges has its rows dealt over them by a hash of their text."""
+    if parts < 2:
+        return F.lit(0)
+    share = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    bounds = named.agg(F.percentile_approx("id", share, max(10_000, 10 * parts)).alias("b")).first().b or []
+    if not bounds:
+        return F.lit(0)
+    # at most parts - 1 distinct ids: where each begins and how many bounds it is
+    at = np.unique(np.array(bounds, np.int64), return_index=True, return_counts=True)
+    table = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(i).alias("i"), F.lit(n).alias("n"))
+                      for b, i, n in zip(*(x.tolist() for x in at))])
+    below = F.filter(table, lambda r: r.b <= F.col("id"))
+    last = F.try_element_at(below, F.lit(-1))
+    own = F.when(last.b == F.col("id"), last.i + F.pmod(F.xxhash64("text"), last.n + 1)).otherwise(last.i + last.n)
+    return F.coalesce(own, F.lit(0)).cast("int")
+
+
 def write_token_files(docs: DataFrame, path: str, text: str = "text", id_col: str = "doc_id", tokenizer: str | None = None,
                       end_id: int = 2, bits: int = 8, block: int = BLOCK, file_ids: int = FILE_IDS) -> None:
     """Write the ids of all documents, each with ``end_id`` appended, in ascending
@@ -163,9 +183,9 @@ def write_token_files(docs: DataFrame, path: str, text: str = "text", id_col: st
     model = tokenizer or public_path()
     end = np.array([end_id], "<u4").tobytes()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
-               .withColumn("tie", F.xxhash64("text"))
-               .repartitionByRange(parts, "id", "tie").sortWithinPartitions("id", "tie"))
+    named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+    ordered = (named.repartitionById(parts, _part(named, parts)).withColumn("tie", F.xxhash64("text"))
+               .sortWithinPartitions("id", "tie"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, start = TaskContext.get().partitionId(), 0, 0

@@ -213,6 +213,18 @@ def test_token_files(spark, docs):
         start += r.n_tokens
 
 
+def test_token_files_deal_a_hot_id_over_its_ranges(spark):
+    rows = [(7, f"text {i}") for i in range(300)] + [(i, f"w{i}") for i in range(300)] + [(None, "none"), (None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    path = scratch_path(spark, "token-hot")
+    write_token_files(frame, path)
+    got = read_token_files(spark, path).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted((r[0] for r in rows), key=lambda x: (x is not None, x or 0))
+    assert [r.start for r in got] == [sum(r.n_tokens for r in got[:i]) for i in range(len(got))]
+    parts = {r.part for r in spark.read.parquet(path).where(F.array_contains("doc_ids", F.lit(7))).select("part").collect()}
+    assert len(parts) > 1
+
+
 def test_lm_scoring(docs):
     train_on = F.col("doc_id") % 5 != 1
     rows = docs.select("doc_id", "text").collect()
