@@ -1,5 +1,7 @@
 """Properties of fitted and distributed operators."""
 import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from attrition.operators import blend as B
@@ -192,3 +194,36 @@ def test_knn_is_exact_at_several_sizes_and_widths(spark):
             want = np.sqrt(((X - X[i]) ** 2).sum(-1))
             want[i] = np.inf
             assert np.allclose(dist[i], np.sort(want)[:5]), (n, width, i)
+
+
+@pytest.mark.parametrize("size", [4096, 64])
+def test_quantiles_by_sketch_and_refine_equal_pandas(spark, monkeypatch, size):
+    """64: sketches so small that several passes are needed, with hot values and ties."""
+    from attrition.operators import ordered
+    monkeypatch.setattr(ordered, "SKETCH_K", size)
+    monkeypatch.setattr(ordered, "GRID", size)
+    rng = np.random.default_rng(1)
+    n = 20_000
+    pdf = pd.DataFrame({"a": rng.normal(size=n), "b": np.where(rng.random(n) < .4, 1., rng.integers(0, 5, n)),
+                        "c": np.r_[np.full(n // 2, 7.0), rng.exponential(size=n - n // 2)], "d": np.full(n, 3.0)})
+    df = spark.createDataFrame(pdf).withColumns({"a": F.when(F.col("a") < 1.5, F.col("a")), "e": F.lit(None).cast("double"),
+                                                 "f": F.when(F.col("b") == 4, float("nan")).otherwise(F.col("b"))}).repartition(5)
+    pdf.loc[pdf.a >= 1.5, "a"] = np.nan
+    probs = [0, .01, .5, .9, .999, 1]
+    got = ordered.exact_quantiles(df, list("abcdef"), probs)
+    for c in "abcd":
+        for q in probs:
+            assert got[(c, q)] == pytest.approx(pdf[c].quantile(q), rel=1e-12, abs=1e-12)
+    assert all(got[("e", q)] is None for q in probs)
+    assert np.isnan(got[("f", 1)]) and got[("f", 0)] == 0       # NaN ranks last
+
+
+def test_quantiles_recover_from_a_sketch_that_is_off(spark, monkeypatch):
+    """Brackets that miss the rank are moved by the counts."""
+    from attrition.operators import ordered
+    monkeypatch.setattr(ordered, "GRID", 16)
+    real = ordered._around
+    monkeypatch.setattr(ordered, "_around", lambda s, n, rank, error: real(s, n, F.least(rank + n / 4, n - 1), 0.0))
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).cast("double").alias("x"))
+    monkeypatch.setattr(ordered, "_select_ranks", lambda d, w, e, run=ordered._select_ranks: (monkeypatch.setattr(ordered, "_around", real), run(d, w, e))[1])
+    assert ordered.exact_quantiles(df, ["x"], [.1, .5, .95]) == {("x", q): pytest.approx(999 * q) for q in (.1, .5, .95)}
