@@ -81,9 +81,18 @@ def nonfinite_audit(df: DataFrame) -> DataFrame:
 
 
 def column_list(df: DataFrame) -> DataFrame:
-    """Ordinal, name and type of every column (metadata only)."""
-    rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "ordinal int, column_name string, data_type string")
+    """Ordinal, name and type of every column, with the number of values that are present
+    and of distinct ones.  A value is counted once a task before the shuffle, so a hot one
+    is one row; an empty table has zeros."""
+    fields = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    facts = ("ordinal", "column_name", "data_type")
+    values = df.select(F.explode(F.array(*[
+        F.struct(*[F.lit(x).alias(k) for k, x in zip(facts, f)], F.col(f"`{f[1]}`").cast("string").alias("v"))
+        for f in fields])).alias("r")).select("r.*").where(F.col("v").isNotNull())
+    counted = (values.groupBy(*facts, "v").agg(F.count(F.lit(1)).alias("n"))
+               .groupBy(*facts).agg(F.sum("n").alias("n_present"), F.count(F.lit(1)).alias("n_distinct")))
+    named = df.sparkSession.createDataFrame(fields, "ordinal int, column_name string, data_type string")
+    return named.join(counted, list(facts), "left").fillna(0, ["n_present", "n_distinct"])
 
 
 def preview(df: DataFrame, n: int = 5, order: str = "row_id") -> DataFrame:

@@ -340,8 +340,8 @@ def q_c15(spark, sf_dir):
     train = _train(spark, sf_dir)
     num = C.numeric_columns(train, ["row_id", "churn"])
     cat = C.categorical_columns(train)
-    rows = [(c, "numeric") for c in num] + [(c, "categorical") for c in cat]
-    return spark.createDataFrame(rows, "column_name string, kind string")
+    kind = F.when(F.col("column_name").isin(num), "numeric").otherwise("categorical")
+    return E.column_list(train.select(*num, *cat)).select("column_name", kind.alias("kind"), "n_present", "n_distinct")
 
 
 # ==================================================================== R: relational core
@@ -722,13 +722,20 @@ def q_m12(spark, sf_dir):
 
 @query("n8_nominal_features")
 def q_n8(spark, sf_dir):
+    """Nominal metadata of every feature beside the codes that the rows hold."""
+    from pyspark.ml.functions import vector_to_array
     prep = _prepared(spark, sf_dir)
     attrs = prep.train.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
     rows = []
     for kind, items in attrs.items():
         for a in items:
             rows.append((int(a["idx"]), a["name"], kind, int(a.get("num_vals", 0) or 0)))
-    return spark.createDataFrame(sorted(rows), "idx int, feature string, kind string, num_vals int")
+    named = spark.createDataFrame(sorted(rows), "idx int, feature string, kind string, num_vals int")
+    x = F.col("x")
+    seen = (prep.train.select(F.posexplode(vector_to_array("features")).alias("idx", "x")).groupBy("idx")
+            .agg(F.count_if(~F.isnan(x)).alias("n_present"), F.min(F.when(~F.isnan(x), x)).alias("least"),
+                 F.max(F.when(~F.isnan(x), x)).alias("most")))
+    return named.join(seen, "idx", "left")
 
 
 @query("n10_feature_vector")

@@ -227,3 +227,12 @@ def test_quantiles_recover_from_a_sketch_that_is_off(spark, monkeypatch):
     df = spark.range(1000).select((F.col("id") * 7 % 1000).cast("double").alias("x"))
     monkeypatch.setattr(ordered, "_select_ranks", lambda d, w, e, run=ordered._select_ranks: (monkeypatch.setattr(ordered, "_around", real), run(d, w, e))[1])
     assert ordered.exact_quantiles(df, ["x"], [.1, .5, .95]) == {("x", q): pytest.approx(999 * q) for q in (.1, .5, .95)}
+
+
+def test_column_facts_of_empty_and_odd_tables(spark):
+    from attrition.operators.profile import column_list
+    rows = [(1, None, "x"), (2, None, "x"), (None, None, "")]
+    df = spark.createDataFrame(rows, "n int, `a.b` double, v string")
+    assert [tuple(r) for r in column_list(df).orderBy("ordinal").collect()] == [
+        (1, "n", "int", 2, 2), (2, "a.b", "double", 0, 0), (3, "v", "string", 3, 2)]
+    assert [r.n_present for r in column_list(df.limit(0)).collect()] == [0, 0, 0]
