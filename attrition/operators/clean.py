@@ -1,7 +1,7 @@
 """Cleaning, projection and filter operators.
 
 All of them are single projections or filters except the fitted ones
-(C3 winsorising, C6–C8 median fills in ``stats``, C9 iterative imputation),
+(C3 winsorising, C6–C8 median fills in ``stats``, C9 imputation in ``impute``),
 which take their statistics in one aggregate first.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from attrition.functions.nullsafe import clip as clip_expr
 from attrition.functions.nullsafe import clip_lower, nan_to_null, neg_to_null, safe_div_fill
+from attrition.operators.impute import IterativeImputer, iterative_impute
 from attrition.operators.stats import (apply_fills, categorical_columns, fill_median, fit_stats,
                                        numeric_columns, present)
 
@@ -25,7 +26,7 @@ NEGATIVE_INVALID = ["calls_made", "sms_sent", "data_used", "calls_per_day", "sms
 __all__ = [
     "sweep_inf", "negatives_to_null", "winsorize", "clip_lower_cols", "fill_constant", "fill_median",
     "safe_divide", "parse_dates", "drop_columns", "common_columns", "split_train_test",
-    "numeric_columns", "categorical_columns", "present", "NEGATIVE_INVALID",
+    "numeric_columns", "categorical_columns", "present", "NEGATIVE_INVALID", "IterativeImputer", "iterative_impute",
 ]
 
 
@@ -136,81 +137,3 @@ def median_fill_scoped(train: DataFrame, test: DataFrame, scope: str = "train",
     st = fit_stats(fit, [("median", c) for c in cols])
     fills = {c: st[("median", c)] for c in cols}
     return apply_fills(train, fills), apply_fills(test, fills)
-
-
-class IterativeImputer:
-    """Round-robin regression imputation (MICE), fitted on one table.
-
-    Start from the median (or mean) of each column; then, for up to
-    ``max_iter`` rounds, every column that has NULLs (fewest first) is
-    regressed on all other columns over its observed rows and its missing
-    cells are replaced by the prediction.  Stops when the largest change is
-    below ``tol`` × the largest observed magnitude.  Each regression is one
-    distributed MLlib fit (ridge in place of the reference's Bayesian ridge);
-    each round's table is checkpointed to cut the lineage.  ``transform``
-    replays the fitted sequence on another table (no refit on test).
-    """
-
-    def __init__(self, cols: Sequence[str], max_iter: int = 10, initial: str = "median", tol: float = 1e-3,
-                 reg: float = 1e-3):
-        self.cols, self.max_iter, self.initial, self.tol, self.reg = list(cols), max_iter, initial, tol, reg
-        self.start: dict = {}
-        self.sequence: list = []          # (column, fitted LinearRegressionModel)
-        self.rounds = 0
-
-    def _mask(self, df: DataFrame) -> DataFrame:
-        return df.select("*", *[F.col(c).isNull().alias(f"_m_{c}") for c in self.cols])
-
-    def _step(self, df: DataFrame, c: str, model) -> DataFrame:
-        from pyspark.ml.feature import VectorAssembler
-        others = [x for x in self.cols if x != c]
-        vec = VectorAssembler(inputCols=others, outputCol="_x", handleInvalid="keep").transform(df)
-        pred = model.transform(vec)
-        return pred.withColumn(c, F.when(F.col(f"_m_{c}"), F.col("_pred")).otherwise(F.col(c))).drop("_x", "_pred")
-
-    def fit_transform(self, df: DataFrame) -> DataFrame:
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.regression import LinearRegression
-        from attrition.session import cut_lineage
-        kind = "median" if self.initial == "median" else "mean"
-        st = fit_stats(df, [(kind, c) for c in self.cols] + [("nulls", c) for c in self.cols]
-                       + [("max", c) for c in self.cols] + [("min", c) for c in self.cols])
-        self.start = {c: st[(kind, c)] for c in self.cols}
-        order = sorted([c for c in self.cols if st[("nulls", c)]], key=lambda c: (st[("nulls", c)], self.cols.index(c)))
-        scale = max([abs(float(st[(k, c)])) for c in self.cols for k in ("max", "min") if st[(k, c)] is not None]
-                    or [1.0])
-        cur = cut_lineage(apply_fills(self._mask(df), self.start))
-        for _ in range(self.max_iter):
-            # previous values ride along as columns: the change is one aggregate, no join
-            cur = cur.select("*", *[F.col(c).alias(f"_prev_{c}") for c in order])
-            for c in order:
-                others = [x for x in self.cols if x != c]
-                train = VectorAssembler(inputCols=others, outputCol="_x", handleInvalid="keep").transform(
-                    cur.where(~F.col(f"_m_{c}")))
-                model = LinearRegression(featuresCol="_x", labelCol=c, predictionCol="_pred", regParam=self.reg,
-                                         elasticNetParam=0.0, standardization=True).fit(train)
-                self.sequence.append((c, model))
-                cur = self._step(cur, c, model)
-            cur = cut_lineage(cur)
-            self.rounds += 1
-            delta = cur.agg(F.max(F.greatest(*[F.abs(F.col(c) - F.col(f"_prev_{c}")) for c in order]
-                                             + [F.lit(0.0)]))).first()[0] if order else 0.0
-            cur = cur.drop(*[f"_prev_{c}" for c in order])
-            if delta is None or delta < self.tol * scale:
-                break
-        return cur.drop(*[f"_m_{c}" for c in self.cols])
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        cur = apply_fills(self._mask(df), self.start)
-        for c, model in self.sequence:
-            cur = self._step(cur, c, model)
-        return cur.drop(*[f"_m_{c}" for c in self.cols])
-
-
-def iterative_impute(train: DataFrame, test: DataFrame | None, cols: Sequence[str], id_col: str = "row_id",
-                     **kw):
-    """C9 on a train/test pair: fit on train only, replay on test."""
-    imp = IterativeImputer(cols, **kw)
-    tr = imp.fit_transform(train)
-    te = imp.transform(test) if test is not None else None
-    return tr, te, imp
