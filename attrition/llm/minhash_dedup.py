@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.llm.components import connected_components
-from attrition.llm.words import Words, mix64, sequence_hash, split_words, whole_hash
+from attrition.llm.words import Words, mix64, returning, sequence_hash, split_words, whole_hash
 from attrition.session import drop_table, ship_package, write_table
 
 SHINGLE = 5
@@ -125,6 +125,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     ship_package(spark)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
 
+    @returning
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
@@ -151,6 +152,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
 
     signed = write_table(source.mapInArrow(sign, "id long, n_shingles long, high long, low long, keys array<long>, sketch binary"), "signatures")
 
+    @returning
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
@@ -187,12 +189,14 @@ def verified_links(buckets: DataFrame, sets_of, percent: int, block: int = BLOCK
         """Whether sizes and sketches allow the similarity."""
         return (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)) & ((x == y).mean(axis=1) >= AGREE)
 
+    @returning
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sketch_a", "sketch_b"))
                 yield batch.select(["a", "b"]).filter(pa.array(near(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), x, y)))
 
+    @returning
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = batch.column("set_a"), batch.column("set_b")

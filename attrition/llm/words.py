@@ -10,6 +10,7 @@ word hashes.  Hashes are stable across processes and runs.
 from __future__ import annotations
 
 import ctypes
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,6 +59,15 @@ def give_back() -> None:
         _trim(0)
 
 
+def returning(run):
+    """``run`` for ``mapInArrow``, giving memory back once its own variables are gone."""
+    @functools.wraps(run)
+    def task(batches):
+        yield from run(batches)
+        give_back()
+    return task
+
+
 def _table(is_word) -> np.ndarray:
     return np.array([is_word(b) for b in range(256)], bool)
 
