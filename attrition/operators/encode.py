@@ -14,7 +14,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrition.operators.ordered import rank_within
+from attrition.operators.folds import fold_hash
+from attrition.operators.ordered import rank_within, running_sums
 from attrition.operators.stats import fit_stats
 from attrition.session import cut_lineage
 
@@ -166,6 +167,43 @@ def target_encode_fit_apply(train: DataFrame, test: DataFrame, cols: Sequence[st
     return out
 
 
+# ---------------------------------------------------------------- N8 ordered target statistics
+def ordered_target_encode(df: DataFrame, cols: Sequence[str], label: str = "churn", id_col: str = "row_id", seed: int = 42,
+                          weight: float = 1.0, prior: float = 0.5, suffix: str = "_ots") -> DataFrame:
+    """Categories of any arity as numbers, without a row's own label.
+
+    Rows stand in a seeded order (md5 of seed and id).  A row's value for a category is the
+    smoothed mean label of the rows before it that share the category:
+    ``(Σy + prior·weight) / (n + weight)``; the first one gets ``prior``, a constant, so that no
+    label leaks through it.  A missing category is a category of its own; a NULL label
+    counts nowhere.  ``id_col`` must be unique and not NULL.
+
+    All columns at once: rows are stacked to (column, key, order, y), and running sums over
+    range partitions spread a hot category over several tasks.
+    """
+    y = F.col(label).cast("double")
+    stacked = _stacked(df, cols, [("_id", F.col(id_col)), ("_h", fold_hash(seed, id_col)), ("_y", F.coalesce(y, F.lit(0.0))),
+                                  ("_n", y.isNotNull().cast("int"))])
+    sums = running_sums(stacked, ["_h", "_id"], ["_y", "_n"], ["column_name", "k"])
+    value = (F.col("cum__y") - F.col("_y") + F.lit(prior * weight)) / (F.col("cum__n") - F.col("_n") + F.lit(float(weight)))
+    wide = sums.groupBy(F.col("_id").alias(id_col)).agg(*[F.max(F.when(F.col("column_name") == c, value)).alias(c + suffix) for c in cols])
+    return df.join(wide, id_col, "left")
+
+
+def ordered_target_apply(train: DataFrame, test: DataFrame, cols: Sequence[str], label: str = "churn", weight: float = 1.0,
+                         prior: float = 0.5, suffix: str = "_ots") -> DataFrame:
+    """N8 for rows without a label: the same mean over all rows of ``train``; an unseen
+    category gets ``prior``."""
+    stats = cut_lineage(
+        _stacked(train, cols, [("_y", F.col(label).cast("double"))]).groupBy("column_name", "k").agg(
+            ((F.coalesce(F.sum("_y"), F.lit(0.0)) + F.lit(prior * weight)) / (F.count("_y") + F.lit(float(weight)))).alias("_enc")))
+    out = test
+    for c in cols:
+        out = _lookup(out, stats, c, [])
+        out = out.withColumn(c + suffix, F.coalesce(F.col("_enc"), F.lit(prior))).drop("_enc")
+    return out
+
+
 # ---------------------------------------------------------------- N7 one-hot, N9 scaling
 def one_hot_wide(df: DataFrame, cols: Sequence[str], max_values: int = 1000, drop: bool = True) -> DataFrame:
     """N7 (``pd.get_dummies``): one 0/1 column ``<col>_<value>`` per value.

@@ -466,6 +466,15 @@ def q_n6(spark, sf_dir):
     return _te_train(spark, sf_dir, pairs).select("row_id", "fold", *[c + "_te" for c in pairs])
 
 
+@query("n8_ordered_targets")
+def q_n8_ordered(spark, sf_dir):
+    """Train rows by the labels before them, test rows by all labels of train."""
+    train, test = _pair(spark, sf_dir)
+    tr = N.ordered_target_encode(train.select("row_id", "churn", *CATS), CATS).drop("churn", *CATS)
+    te = N.ordered_target_apply(train, test.select("row_id", *CATS), CATS).drop(*CATS)
+    return _flagged(tr, te)
+
+
 @query("n7_one_hot")
 def q_n7(spark, sf_dir):
     return N.one_hot_wide(_train(spark, sf_dir).select("row_id", "telecom_partner", "gender"),
