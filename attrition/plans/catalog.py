@@ -101,7 +101,7 @@ def _recipe_tables(name):
     return fn
 
 
-# the labelled table alone is what the oracles' SQL has; these also build the unlabelled one
+# the queries above return the labelled table; these also build the unlabelled one
 for _r in ("simple", "fast", "wide", "v2", "full", "f1", "light", "raw"):
     QUERIES[f"recipe_{_r}_tables"] = _recipe_tables(_r)
 
