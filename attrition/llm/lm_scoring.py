@@ -55,9 +55,9 @@ _ASK = "cid long, split int, kind int, bucket int, keys binary, count binary"
 _ANSWER = "cid long, kind int, bucket int, kept binary, held binary, v_kept long, v_all long, n_kept long, n_all long"
 
 
-def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _tokens(column: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token hashes of all texts, contexts (the token before), first token of each text."""
-    w = split_words(column)
+    w = split_words(column, lower=lower)
     n_docs = len(w.first) - 1
     first = w.first + np.arange(n_docs + 1)
     tokens = np.empty(first[-1], np.uint64)
@@ -160,11 +160,12 @@ def learn_weights(cells: pd.DataFrame, rounds: int = 200, tolerance: float = 1e-
     return weights
 
 
-def score_documents(docs: DataFrame, train, text: str = "text", id_col: str = "doc_id", held_every: int = 10) -> DataFrame:
+def score_documents(docs: DataFrame, train, text: str = "text", id_col: str = "doc_id", held_every: int = 10,
+                    lower: bool = False) -> DataFrame:
     """One row per document: id, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``train_types``, ``base_score`` (add-half unigram) and ``score``.  ``train``:
     boolean column of the training documents; one in ``held_every`` of them, by a
-    hash of the id, is held out for EM."""
+    hash of the id, is held out for EM.  ``lower`` takes A-Z as a-z."""
     fold = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("held")), F.lit(held_every))
     split = F.when(F.coalesce(train, F.lit(False)), F.when(fold == 0, HELD).otherwise(KEPT)).otherwise(OTHER)
     chunks = pack(docs.select(id_col, text), text, split)
@@ -173,7 +174,7 @@ def score_documents(docs: DataFrame, train, text: str = "text", id_col: str = "d
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for cid, split, payload in zip(batch.column("cid").to_pylist(), batch.column("split").to_pylist(), batch.column("payload")):
-                tokens, context, _ = _tokens(unpack_batch(payload.as_py()).column(text))
+                tokens, context, _ = _tokens(unpack_batch(payload.as_py()).column(text), lower)
                 for kind, values in ((1, tokens), (2, _bigrams(tokens, context))):
                     keys, n = np.unique(values, return_counts=True)
                     at = cuts(keys, buckets)
@@ -194,7 +195,7 @@ def score_documents(docs: DataFrame, train, text: str = "text", id_col: str = "d
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for payload, own in zip(batch.column("payload"), batch.column("answers")):
-                tokens, context, _ = _tokens(unpack_batch(payload.as_py()).column(text))
+                tokens, context, _ = _tokens(unpack_batch(payload.as_py()).column(text), lower)
                 kept, _, pair, _ = _counts(tokens, context, own.as_py())
                 before = _of_context(kept, context)
                 bi = np.divide(pair, before, out=np.zeros_like(pair), where=before > 0) * (v_kept + 1)
@@ -214,7 +215,7 @@ def score_documents(docs: DataFrame, train, text: str = "text", id_col: str = "d
         for batch in batches:
             for payload, own in zip(batch.column("payload"), batch.column("answers")):
                 body = unpack_batch(payload.as_py())
-                tokens, context, first = _tokens(body.column(text))
+                tokens, context, first = _tokens(body.column(text), lower)
                 kept, held, pair_kept, pair_held = _counts(tokens, context, own.as_py())
                 c, pair = kept + held, pair_kept + pair_held
                 before = _of_context(c, context)
@@ -239,9 +240,9 @@ def perplexity(score, n_tokens):
 
 
 def op1_lm_scoring(spark, sf_dir: str) -> DataFrame:
-    """Contract query: learns from documents with crc32(doc_id) mod 5 <> 1."""
+    """Contract query: lower-cases A-Z, learns from documents with crc32(doc_id) mod 5 <> 1."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     remainder = F.crc32(F.col("doc_id").cast("string")) % 5
-    scored = score_documents(docs, remainder != 1)
+    scored = score_documents(docs, remainder != 1, lower=True)
     return scored.select("doc_id", (remainder == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score", perplexity(F.col("score"), F.col("n_tokens")).alias("perplexity"))

@@ -244,6 +244,22 @@ def test_lm_scoring(docs):
     assert all(np.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def test_op1_folds_upper_case(spark, tmp_path):
+    from attrition.llm.lm_scoring import op1_lm_scoring
+    texts = [(i, t) for i, t in enumerate(["The cat", "the CAT", "THE ÉA éa", "", None, "cat\tDOG", "Zebra [x] {X}"] * 5)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tokens = {i: [*_space_words(_lower(t)), "<end>"] for i, t in texts}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in texts}
+    count = Counter(x for i, own in tokens.items() if not held[i] for x in own)
+    n, v = sum(count.values()), len(count)
+    got = op1_lm_scoring(spark, str(tmp_path)).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        own = tokens[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(own), sum(count[x] > 0 for x in own), n)
+        assert r.base_score == pytest.approx(sum(math.log10((count[x] + 0.5) / (n + 0.5 * (v + 1))) for x in own))
+
+
 def test_lm_distribution_sums_to_one(spark):
     """p(. | h) over the vocabulary and one unknown word, by brute force from scores of two-word texts."""
     texts = [(i, t) for i, t in enumerate(["a b a b c", "b c a", "a b", "c c c a", "b a c"] * 8)]
