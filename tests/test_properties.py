@@ -236,3 +236,28 @@ def test_column_facts_of_empty_and_odd_tables(spark):
     assert [tuple(r) for r in column_list(df).orderBy("ordinal").collect()] == [
         (1, "n", "int", 2, 2), (2, "a.b", "double", 0, 0), (3, "v", "string", 3, 2)]
     assert [r.n_present for r in column_list(df.limit(0)).collect()] == [0, 0, 0]
+
+
+def test_knn_boxes_leave_most_blocks_out(spark, monkeypatch):
+    """Open blocks a row grow far slower than blocks; copies and columns of other scales included."""
+    monkeypatch.setattr(RS, "REFINED", 64)
+    rng = np.random.default_rng(6)
+    X = np.column_stack([rng.uniform(0, 1e5, 6000), rng.integers(0, 5, 6000), rng.normal(0, 2e4, 6000), rng.uniform(0, 300, 6000)])
+    X[:300] = X[0]
+    X[300:310] *= 1000
+    seen = {}
+
+    def spy(points, near, k, own=RS._refine):
+        seen["points"] = points.toPandas()
+        return own(points, near, k)
+
+    monkeypatch.setattr(RS, "_refine", spy)
+    got, D = _neighbours(spark, X.tolist(), 3)
+    radius = np.sort(D, axis=1)[:, 2]
+    assert all(np.allclose(got[i], np.sort(D[i])[:3]) for i in range(0, len(X), 7))
+    p = seen["points"].sort_values("id")
+    assert p["id"].tolist() == list(range(len(X))) and p.groupby("a").size().max() <= 64
+    boxes = [(X[i].min(axis=0), X[i].max(axis=0)) for i in (g["id"].to_numpy() for _, g in p.groupby("a"))]
+    low, high = np.array([b[0] for b in boxes]), np.array([b[1] for b in boxes])
+    gap = np.maximum(np.maximum(low - X[:, None], X[:, None] - high), 0)
+    assert (np.sqrt((gap ** 2).sum(-1)) < radius[:, None]).sum(axis=1).mean() < 6
