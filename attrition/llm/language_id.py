@@ -33,7 +33,8 @@ from attrition.session import ship_package
 PROFILE = 400
 UNKNOWN_BITS = 15
 SLOT_BITS = 20
-SLICE = 1 << 20          # bytes of text at a time: an n-gram code takes 8 bytes
+COUNT_BITS = 17          # slots for the n-grams of a slice
+SLICE = 1 << 18          # bytes of text at a time: a byte takes about 130 while n-grams are placed
 _letters: list[np.ndarray] = []
 
 
@@ -82,11 +83,11 @@ def _pack(kind: int, a, b, c) -> np.ndarray:
 def _count(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes and their counts, through a direct table where slots are
     unambiguous (much faster than sorting); the rest is sorted."""
-    slot = (mix64(codes) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-    owner = np.zeros(1 << SLOT_BITS, np.uint64)
+    slot = (mix64(codes) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+    owner = np.zeros(1 << COUNT_BITS, np.uint64)
     owner[slot] = codes
     mine = owner[slot] == codes
-    n = np.bincount(slot[mine], minlength=1 << SLOT_BITS)
+    n = np.bincount(slot[mine], minlength=1 << COUNT_BITS)
     used = np.flatnonzero(n)
     other, m = np.unique(codes[~mine], return_counts=True)
     return np.concatenate([owner[used], other]), np.concatenate([n[used], m])

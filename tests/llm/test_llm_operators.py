@@ -427,3 +427,22 @@ def test_licence_starts_need_agreeing_votes_and_none_is_lost():
     index = LicenceIndex({w: 1 for w in words if w not in ("any", "person", "obtaining")}, 1)
     text = " ".join("zz" if w in ("any", "person", "obtaining") else w for w in words)
     assert index.scan(split_words(pa.array([text]), lower=True, alnum=True))[2][0]["mit"] == 1 - 3 / len(words)
+
+
+def test_language_slices_stay_small():
+    """What a worker holds while it learns and predicts, by numpy's own accounting."""
+    import tracemalloc
+    from attrition.llm import language_id as li
+    from attrition.llm.bpe import slices
+    column = pa.array([" ".join(f"wort{i % 97} name{i * k % 89}" for i in range(400)) for k in range(500)])
+    keys, n = li._count(grams(column.to_pylist()[:5])[0])
+    model = Profiles([("x", int(c), r) for r, c in enumerate(keys[:300].tolist())], 400)
+    li._letter_table(), model.predict(["a b"])
+    tracemalloc.start()
+    for lo, m in slices(column, li.SLICE):
+        part = column.slice(lo, m).to_pylist()
+        model.predict(part), li._count(grams(part)[0])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert column.nbytes > 4 << 20 and peak < 64 << 20
+    assert n.sum() == len(grams(column.to_pylist()[:5])[0])
