@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.words import give_back
+from attrition.llm.words import returning
 from attrition.session import ship_package, write_table
 
 CHUNK_BYTES = 4 << 20
@@ -68,6 +68,7 @@ def pack(docs: DataFrame, text: str = "text", split=None, chunk_bytes: int = CHU
     names = docs.columns
     source = docs.select("*", (split if split is not None else F.lit(0)).cast("int").alias("__split"))
 
+    @returning
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         held: dict[int, list] = {}
@@ -103,7 +104,6 @@ def pack(docs: DataFrame, text: str = "text", split=None, chunk_bytes: int = CHU
                     lo = hi
         for key in list(held):
             yield emit(key)
-        give_back()
 
     out = source.mapInArrow(rows, "cid long, split int, n_bytes long, payload binary")
     return write_table(out, "chunks")

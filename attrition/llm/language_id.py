@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrition.llm.bpe import slices
-from attrition.llm.words import give_back, mix64
+from attrition.llm.words import mix64, returning
 from attrition.session import ship_package
 
 PROFILE = 400
@@ -153,6 +153,7 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", prof
     """``(language, n-gram, rank)`` from all rows of ``docs``: ``profile`` rows a language."""
     ship_package(docs.sparkSession)
 
+    @returning
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, n in slices(batch.column("text"), SLICE):
@@ -164,7 +165,6 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", prof
                     keys, m = _count(codes)
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(m, pa.int64())],
                                                      names=["lang", "code", "n"])
-        give_back()
 
     source = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     counts = source.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
@@ -181,6 +181,7 @@ def identify(docs: DataFrame, profiles: list[tuple[str, int, int]], text: str =
     names = docs.columns
     held = docs.sparkSession.sparkContext.broadcast(profiles)   # profile rows a language
 
+    @returning
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Profiles(held.value, profile)
         for batch in batches:
@@ -189,8 +190,6 @@ def identify(docs: DataFrame, profiles: list[tuple[str, int, int]], text: str =
                 langs, scores = model.predict(part.column(text).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                                  names=[*names, "lang_pred", "score"])
-        del model
-        give_back()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attrition.llm.chunks import bucket_count, cuts, expand, pack, squeeze, unpack_batch, with_answers
-from attrition.llm.words import Words, give_back, sequence_hash, split_words
+from attrition.llm.words import Words, give_back, returning, sequence_hash, split_words
 from attrition.session import write_table
 
 WINDOW = 35
@@ -130,6 +130,13 @@ def _recurring(pdf: pd.DataFrame) -> pd.DataFrame:
                          "mask": [np.packbits(flag[e - len(k):e]).tobytes() for e, k in zip(ends, keys)]})
 
 
+def _bucket(pdf: pd.DataFrame) -> pd.DataFrame:
+    """``_recurring``, giving memory back once its arrays are gone."""
+    out = _recurring(pdf)
+    give_back()
+    return out
+
+
 _ASK = "cid long, kind int, bucket int, keys binary, check binary, count binary"
 _ANSWER = "cid long, kind int, bucket int, n long, mask binary"
 
@@ -217,14 +224,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, gr
     own_columns = docs.columns
     result_schema = T.StructType([*docs.schema.fields, *RESULT])
 
+    @returning
     def ask_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for cid, payload in zip(batch.column("cid").to_pylist(), batch.column("payload")):
                 w = split_words(unpack_batch(payload.as_py()).column(text))
                 _, _, keys, n = _named(w, window, gram)
                 yield _ask(cid, 0, keys, None, n, buckets)
-        give_back()
 
+    @returning
     def ask_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for cid, payload, answers in zip(batch.column("cid").to_pylist(), batch.column("payload"), batch.column("answers")):
@@ -232,8 +240,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, gr
                 flags = _flags(answers.as_py(), 0, len(_named(w, window, gram)[2]))
                 _, keys, check, n, _ = _candidates(w, window, gram, flags)
                 yield _ask(cid, 1, keys, check, n, buckets)
-        give_back()
 
+    @returning
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for payload, answers in zip(batch.column("payload"), batch.column("answers")):
@@ -257,11 +265,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, gr
                 arrays += [pa.array(kept, pa.string()), pa.array(np.diff(w.first), pa.int64()), pa.array(n_removed, pa.int64()),
                            pa.array(spans, pa.list_(pa.list_(pa.int32())))]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*own_columns, *(f.name for f in RESULT)])
-        give_back()
 
-    first = write_table(chunks.mapInArrow(ask_grams, _ASK).groupBy("kind", "bucket").applyInPandas(_recurring, _ANSWER), "grams")
+    first = write_table(chunks.mapInArrow(ask_grams, _ASK).groupBy("kind", "bucket").applyInPandas(_bucket, _ANSWER), "grams")
     second = write_table(with_answers(chunks, first).select("cid", "payload", "answers").mapInArrow(ask_windows, _ASK)
-                         .groupBy("kind", "bucket").applyInPandas(_recurring, _ANSWER), "windows")
+                         .groupBy("kind", "bucket").applyInPandas(_bucket, _ANSWER), "windows")
     return (with_answers(chunks, first.unionByName(second)).select("payload", "answers")
             .mapInArrow(locate, result_schema))
 

@@ -1,11 +1,15 @@
 """op2's automata on very long and on repetitive passages."""
 
 import time
+import weakref
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from attrition.llm import substring_dedup as sd
+from attrition.llm import words
+from attrition.llm.chunks import pack_batch
 from attrition.llm.words import split_words
 
 
@@ -57,3 +61,30 @@ def test_passage_of_more_distinct_words_than_characters():
     w = split_words(pa.array([text]))
     starts = np.arange(n - 34)          # as if the text had a copy elsewhere
     assert sd._covered(w, starts, 35, sd.AUTOMATON_WORDS).all()
+
+
+def test_tasks_give_memory_back_once_their_words_are_gone(spark, monkeypatch):
+    class Asked(Exception):
+        pass
+
+    class Chunks:
+        def mapInArrow(self, task, schema):
+            raise Asked(task)
+
+    alive, left = [], []
+
+    def split(column):
+        alive.append(weakref.ref(w := words.split_words(column)))
+        return w
+
+    monkeypatch.setattr(sd, "pack", lambda *a, **kw: Chunks())
+    monkeypatch.setattr(sd, "bucket_count", lambda *a: 1)
+    monkeypatch.setattr(sd, "split_words", split)
+    for module in (sd, words):
+        monkeypatch.setattr(module, "give_back", lambda: left.append(sum(r() is not None for r in alive)))
+    with pytest.raises(Asked) as e:
+        sd.remove_repeats(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
+    body = pa.RecordBatch.from_pydict({"text": pa.array([" ".join(f"w{i % 50}" for i in range(200))])})
+    batch = pa.RecordBatch.from_pydict({"cid": pa.array([0], pa.int64()), "payload": pa.array([pack_batch(body)], pa.binary())})
+    assert sum(b.num_rows for b in e.value.args[0](iter([batch]))) == 1
+    assert len(alive) == 1 and left == [0]
