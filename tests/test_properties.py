@@ -261,3 +261,23 @@ def test_knn_boxes_leave_most_blocks_out(spark, monkeypatch):
     low, high = np.array([b[0] for b in boxes]), np.array([b[1] for b in boxes])
     gap = np.maximum(np.maximum(low - X[:, None], X[:, None] - high), 0)
     assert (np.sqrt((gap ** 2).sum(-1)) < radius[:, None]).sum(axis=1).mean() < 6
+
+
+def test_running_sums_deal_rows_evenly(spark, monkeypatch):
+    """A few long ranges would fall on some of the tasks only, with a large share of the rows in one."""
+    import pandas as pd
+    from attrition.operators import ordered
+    monkeypatch.setattr(ordered, "RUN_BITS", 8)
+    n = 100_000
+    df = spark.range(n).select(F.col("id").alias("o"), (F.col("id") % 10 < 3).cast("int").alias("g"), (F.col("id") % 7).cast("double").alias("v"))
+    merges = "spark.sql.adaptive.coalescePartitions.enabled"       # of partitions of a few bytes
+    spark.conf.set(merges, "false")
+    try:
+        got = ordered.running_sums(df, ["o"], ["v"], ["g"]).withColumn("task", F.spark_partition_id()).toPandas()
+    finally:
+        spark.conf.unset(merges)
+    share = got.groupby("task").size().max() / n
+    assert len(got) == n and share < 0.2, share
+    want = pd.DataFrame({"o": range(n)}).assign(g=lambda d: (d.o % 10 < 3).astype(int), v=lambda d: d.o % 7)
+    want["cum"] = want.groupby("g").v.cumsum()
+    assert (got.set_index("o").cum_v.sort_index() == want.cum).all()
